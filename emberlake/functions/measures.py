@@ -11,12 +11,14 @@ from emberlake.schema import SENTINEL, Metric
 def missing_to_sentinel(metric: Metric, raw: Column, value: Column) -> Column:
     """The sentinel for an absent value, else the parsed value.
 
-    Text that is present but unreadable is not absent: it stays NULL.
+    Text that is present but unreadable is not absent: it stays NULL. So do NaN, which Spark orders
+    above every number, and the infinities, which would each spoil the sums of a whole group.
     """
+    infinity = float("inf")
     missing = raw.isNull() | (value == SENTINEL)
     if metric.negative_is_missing:
-        missing = missing | (value < 0)
-    return F.when(missing, F.lit(float(SENTINEL))).otherwise(value)
+        missing = missing | ((value < 0) & (value > -infinity))
+    return F.when(missing, F.lit(float(SENTINEL))).when(F.abs(value) < infinity, value)
 
 
 def is_valid(metric: Metric) -> Column:

@@ -11,12 +11,6 @@ def number(name: str) -> Column:
     return F.col(name).try_cast("double")
 
 
-def finite_number(name: str) -> Column:
-    """Like ``number``, but NaN and the infinities are NULL (Spark orders NaN above infinity)."""
-    value = number(name)
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
-
-
 def whole_number(value: Column, to: str) -> Column:
     """Double to integer type, dropping the fraction; NULL when it does not fit."""
     return value.try_cast(to)

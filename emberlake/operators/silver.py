@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberlake.functions.measures import missing_to_sentinel
-from emberlake.functions.parsing import finite_number, number, wall_clock, whole_number
+from emberlake.functions.parsing import number, wall_clock, whole_number
 from emberlake.schema import BRONZE_COLUMNS, DATE_COLUMNS, METRICS, SILVER_SCHEMA
 
 
@@ -37,7 +37,7 @@ def clean_metrics(rows: DataFrame) -> DataFrame:
     The parsed value gets a column of its own first: Catalyst keeps the two projections apart, so a
     row's text is parsed once although the rule names the value several times.
     """
-    parsed = rows.withColumns({f"_{m.column}": finite_number(m.column) for m in METRICS})
+    parsed = rows.withColumns({f"_{m.column}": number(m.column) for m in METRICS})
     return parsed.withColumns(
         {
             m.column: missing_to_sentinel(m, F.col(m.column), F.col(f"_{m.column}"))

@@ -12,6 +12,10 @@ from pyspark.sql import types as T
 
 from emberlake.schema import DATE_COLUMNS
 
+_PARTITIONS_PER_DATE = 16
+# Beyond this a shuffle keeps only average block sizes, and large dates would go unnoticed.
+_MAX_PARTITIONS = 2000
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -77,8 +81,10 @@ def write_dates(
     retried job leaves the old date. A date of ``dates`` without rows is replaced by an empty file.
 
     With ``compact`` the rows are rebalanced on the date first: a small date becomes one file, and
-    adaptive execution splits a large one by size, so no date passes through a single task. Without
-    it each task writes what it has, with no shuffle.
+    adaptive execution splits a large one by size, so no date passes through a single task. There are
+    several times more hash partitions than dates, so that a small date seldom shares one with a large
+    date and its splits; adaptive execution joins the empty and small ones again. Without ``compact``
+    each task writes what it has, with no shuffle.
     """
     spark = df.sparkSession
     options = options or {}
@@ -91,7 +97,11 @@ def write_dates(
         F.substring("DATREF", 7, 2).alias("extract_day"),
     )
     if compact:
-        placed = placed.hint("rebalance", *DATE_COLUMNS)
+        partitions = max(
+            int(spark.conf.get("spark.sql.shuffle.partitions")),
+            min(_PARTITIONS_PER_DATE * len(dates), _MAX_PARTITIONS),
+        )
+        placed = placed.hint("rebalance", partitions, *DATE_COLUMNS)
     # At most one entry per requested date; a set, so a retried task changes nothing.
     placed = placed.observe(seen, F.collect_set(F.concat(*DATE_COLUMNS)).alias("dates"))
     if order_by:
