@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit run.py --root s3a://bucket --source '.../{month}.csv' [--date ...]``."""
+"""Command line: ``python -m emberlake --root PATH --source '.../{month}.csv' [--date yyyyMMdd]``."""
 
 from __future__ import annotations
 
@@ -25,6 +25,9 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     )
     parser.add_argument("--date", type=_date, help="reference date yyyyMMdd; default yesterday, UTC")
     parser.add_argument("--until", type=_date, help="last date of a backfill that starts at --date")
+    parser.add_argument(
+        "--no-compact", action="store_true", help="write silver without a shuffle (large backfills)"
+    )
     args = parser.parse_args(argv)
     if args.step in ("bronze", "all") and not args.source:
         parser.error("--source is needed to land bronze")
@@ -46,7 +49,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.step in ("bronze", "all"):
         jobs.bronze_job(spark, lake, args.source, dates)
     if args.step in ("silver", "all"):
-        jobs.silver_job(spark, lake, dates)
+        jobs.silver_job(spark, lake, dates, compact=not args.no_compact)
     if args.step in ("gold", "all"):
         jobs.gold_job(spark, lake, dates)
     elif args.step in GOLD_TABLES:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,8 +42,9 @@ def silver_job(
     """Cleans and types the landed rows of ``dates``.
 
     Files are sorted by satellite: the write sorts by date anyway, and gold then skips the row groups
-    of other satellites by their statistics. ``compact=False`` saves the shuffle where landed dates
-    hold few foreign rows, as after a backfill.
+    of other satellites by their statistics. ``compact=False`` saves the shuffle of all rows where the
+    landed dates are large and hold few foreign rows, as after a large backfill; elsewhere it leaves
+    many small files.
     """
     rows = build_silver(bronze.read_bronze(spark, lake.bronze, dates), version_ts)
     write_dates(rows, lake.silver, dates, order_by=[F.col("satelite")], compact=compact)
@@ -71,19 +73,25 @@ def gold_job(
     """Aggregates silver into the gold ``tables``.
 
     Silver is scanned and shuffled once, into measures by all keys of all tables. That result is
-    bounded by dates x places, however many hotspots there are; each table is a roll-up of it.
+    bounded by dates x places, however many hotspots there are; each table is a roll-up of it. The
+    roll-ups are small jobs and are written side by side.
     """
     rows = reference_rows(read_silver(spark, lake, dates), satellite)
     keys = sorted({key for table in tables for key in GOLD_TABLES[table]})
     measures = partial_measures(rows, keys)
     if len(tables) > 1:
         measures = cut_lineage(measures)
-    for table in tables:
+
+    def write(table: str) -> None:
         own = list(GOLD_TABLES[table])
         rolled = measures if sorted(own) == keys else merge_measures(measures, own)
         gold = finish_measures(rolled, own, version_ts)
         write_dates(gold, lake.gold(table), dates, order_by=[F.desc("QUANTIDADE_FOCO")])
 
+    with ThreadPoolExecutor(len(tables)) as pool:
+        for written in [pool.submit(write, table) for table in tables]:
+            written.result()
+
 
 def daily_chain(
     spark: SparkSession,
@@ -91,9 +99,10 @@ def daily_chain(
     source: str,
     dates: Sequence[dt.date] | None = None,
     version_ts: dt.datetime | None = None,
+    compact: bool = True,
 ) -> None:
     """Land, silver, then the three gold tables, all for the same dates."""
     dates = sorted(set(dates)) if dates else [yesterday()]
     bronze_job(spark, lake, source, dates)
-    silver_job(spark, lake, dates, version_ts)
+    silver_job(spark, lake, dates, version_ts, compact)
     gold_job(spark, lake, dates, version_ts=version_ts)

@@ -1,0 +1,142 @@
+"""Random messy input against brute force, and relations that must hold between the tables."""
+
+import math
+import random
+from collections import defaultdict
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+from conftest import DAY, HEADER, VERSION
+from pyspark.sql import functions as F
+
+from emberlake.operators.gold import build_gold
+from emberlake.operators.silver import build_silver
+from emberlake.plans import jobs
+from emberlake.schema import GOLD_TABLES, METRICS
+from emberlake.sources.lake import Lake
+from oracle.events_view import bronze_hotspots
+from test_golden import as_table
+
+SF_DIR = "/root/testdata/sf0.001"
+COLUMNS = HEADER.split(",")
+
+
+def random_row(rng, i):
+    number = [f"{rng.uniform(-5, 60):.2f}", str(rng.randrange(60)), "-999", "-999.0", "", "abc", "NaN"]
+    return {
+        "id": rng.choice([f"r{i}", f"r{i}", f"r{i}", ""]),
+        "lat": "-3.2",
+        "lon": "x",
+        "data_hora_gmt": rng.choice(
+            ["2024-10-05 10:00:00"] * 6 + ["2024-10-04 23:59:59", "2024-10-06 00:00:00", "bad", ""]
+        ),
+        "satelite": rng.choice(["AQUA_M-T", "AQUA_M-T", "NOAA-20", ""]),
+        # Two thirds of the rows share one place.
+        "municipio": rng.choice(["M0", "M0", "M0", "M0", "M1", ""]),
+        "estado": rng.choice(["E0", "E0", "E1"]),
+        "pais": "Brasil",
+        "municipio_id": "1",
+        "estado_id": "2",
+        "pais_id": "33",
+        "numero_dias_sem_chuva": rng.choice([str(rng.randrange(120)), "-999", "", "abc", "7.0", "99999"]),
+        "precipitacao": rng.choice(number),
+        "risco_fogo": rng.choice(number),
+        "bioma": rng.choice(["B0", "B0", "B1", ""]),
+        "frp": rng.choice(number),
+    }
+
+
+def parsed(column, text):
+    """Silver value of a metric text, by the rules."""
+    if text == "":
+        return -999
+    try:
+        value = float(text)
+    except ValueError:
+        return None
+    if not math.isfinite(value):
+        return None
+    if value == -999 or (column == "frp" and value < 0):
+        return -999
+    if column == "numero_dias_sem_chuva":
+        return int(value) if -32768 <= int(value) <= 32767 else None
+    return value
+
+
+def cents(value):
+    exact = Decimal(value).quantize(Decimal("1e-8"), ROUND_HALF_UP)
+    return float(exact.quantize(Decimal("0.01"), ROUND_HALF_UP))
+
+
+def brute_force(rows, keys):
+    groups = defaultdict(list)
+    for row in rows:
+        if row["satelite"] == "AQUA_M-T" and row["data_hora_gmt"].startswith("2024-10-05"):
+            groups[tuple(row[k] or None for k in keys)].append(row)
+    table = {}
+    for key, members in groups.items():
+        stats = []
+        for metric in METRICS:
+            values = [parsed(metric.column, r[metric.column]) for r in members]
+            filled = [0 if v is None or v == -999 else v for v in values]
+            if all(v is None or v == -999 for v in values):
+                stats.append((None,) * 4)
+                continue
+            total, mean = math.fsum(filled), math.fsum(filled) / len(filled)
+            stats.append(tuple(cents(v) for v in (total, mean, min(filled), max(filled))))
+        table[key] = (sum(r["id"] != "" for r in members), *stats)
+    return table
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_chain_against_brute_force(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    rows = [random_row(rng, i) for i in range(3000)]
+    lines = [",".join(row[c] for c in COLUMNS) for row in rows]
+    (tmp_path / "202410.csv").write_text("\n".join([HEADER, *lines]) + "\n")
+    lake = Lake(str(tmp_path / "lake"))
+    jobs.daily_chain(spark, lake, str(tmp_path / "{month}.csv"), [DAY], VERSION)
+    extracts = ("extract_year", "extract_month", "extract_day")
+    for table, keys in GOLD_TABLES.items():
+        rows_out = jobs.read_gold(spark, lake, table, [DAY]).drop(*extracts).collect()
+        assert as_table(rows_out, len(keys)) == brute_force(rows, keys)
+
+
+@pytest.fixture(scope="module")
+def events_gold(spark):
+    silver = build_silver(bronze_hotspots(spark, SF_DIR), VERSION).cache()
+    yield {table: build_gold(silver, keys, VERSION).cache() for table, keys in GOLD_TABLES.items()}
+    silver.unpersist()
+
+
+def test_tables_add_up(events_gold):
+    columns = ["QUANTIDADE_FOCO", *(f"SUM_{m.label}" for m in METRICS)]
+
+    def by_state(table):
+        rows = events_gold[table].groupBy("DATREF", "ESTADO").agg(
+            *(F.round(F.sum(c), 2).alias(c) for c in columns)
+        )
+        return sorted(map(str, rows.collect()))
+
+    assert by_state("foco_estado") == by_state("foco_municipio")
+    totals = {
+        table: gold.agg(F.sum("QUANTIDADE_FOCO")).first()[0] for table, gold in events_gold.items()
+    }
+    assert len(set(totals.values())) == 1
+
+
+def test_statistics_are_ordered(events_gold):
+    for gold in events_gold.values():
+        for row in gold.collect():
+            for m in METRICS:
+                low, mean, high = (row[f"{s}_{m.label}"] for s in ("MIN", "AVG", "MAX"))
+                assert (low is None) == (mean is None) == (high is None)
+                if low is not None:
+                    assert low - 0.01 <= mean <= high + 0.01
+
+
+def test_rerun_gives_the_same_rows(spark, events_gold):
+    again = build_gold(build_silver(bronze_hotspots(spark, SF_DIR), VERSION), ["bioma"])
+    assert sorted(map(str, again.drop("DATVER").collect())) == sorted(
+        map(str, events_gold["foco_bioma"].drop("DATVER").collect())
+    )
