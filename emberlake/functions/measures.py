@@ -32,6 +32,5 @@ def zero_filled(metric: Metric) -> Column:
 
 def round_cents(value: Column) -> Column:
     """Two decimals, half up on the decimal value, so the result does not hang on the last binary
-    digits of a sum. A double of 1e18 and more holds no fraction and is kept as it is."""
-    rounded = F.round(value.try_cast("decimal(28,8)"), 2).cast("double")
-    return F.when(F.abs(value) < F.lit(1e18), rounded).otherwise(value)
+    digits of a sum. A double too large for the decimal holds no fraction and is kept as it is."""
+    return F.coalesce(F.round(value.try_cast("decimal(28,8)"), 2).cast("double"), value)

@@ -1,6 +1,7 @@
 """Every registered query against its SQL in DuckDB, over whole tables."""
 
 import math
+import os
 
 import duckdb
 import pytest
@@ -11,7 +12,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-SF_DIR = "/root/testdata/sf0.01"
+SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 
 
 def normal(value):
