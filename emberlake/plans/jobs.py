@@ -41,8 +41,8 @@ def silver_job(
 ) -> None:
     """Cleans and types the landed rows of ``dates``.
 
-    Files are sorted by satellite: the write sorts by date anyway, and gold then skips the row groups
-    of other satellites by their statistics. ``compact=False`` saves the shuffle of all rows where the
+    Files are sorted by satellite: the write sorts by date anyway, and gold then skips row groups and
+    pages of other satellites. ``compact=False`` saves the shuffle of all rows where the
     landed dates are large and hold few foreign rows, as after a large backfill; elsewhere it leaves
     many small files.
     """
