@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,8 +90,10 @@ def gold_job(
         write_dates(gold, lake.gold(table), dates, order_by=[F.desc("QUANTIDADE_FOCO")])
 
     with ThreadPoolExecutor(len(tables)) as pool:
-        for written in [pool.submit(write, table) for table in tables]:
-            written.result()
+        # Each thread carries the caller's tags, job group and scheduler pool.
+        running = [pool.submit(inheritable_thread_target(spark)(write), t) for t in tables]
+        for job in running:
+            job.result()
 
 
 def daily_chain(

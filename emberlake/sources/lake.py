@@ -86,7 +86,6 @@ def write_dates(
     date and its splits; adaptive execution joins the empty and small ones again. Without ``compact``
     each task writes what it has, with no shuffle.
     """
-    spark = df.sparkSession
     options = options or {}
     columns = columns or df.columns
     seen = Observation()
@@ -98,7 +97,7 @@ def write_dates(
     )
     if compact:
         partitions = max(
-            int(spark.conf.get("spark.sql.shuffle.partitions")),
+            int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
             min(_PARTITIONS_PER_DATE * len(dates), _MAX_PARTITIONS),
         )
         placed = placed.hint("rebalance", partitions, *DATE_COLUMNS)
@@ -115,8 +114,8 @@ def write_dates(
         .save(table)
     )
     written = set(seen.get["dates"])
-    empty = spark.createDataFrame([], df.select(*columns).schema)
+    # A filter that is never true: Catalyst plans no scan for it.
+    empty = df.select(*columns).where(F.lit(False))
     for date in dates:
         if f"{date:%Y%m%d}" not in written:
-            leaf = date_leaf(table, date)
-            empty.coalesce(1).write.mode("overwrite").format(fmt).options(**options).save(leaf)
+            empty.write.mode("overwrite").format(fmt).options(**options).save(date_leaf(table, date))
