@@ -17,7 +17,7 @@ BLANK = r"[\x20\x09-\x0D]+"
 SLICE_BYTES = 1 << 20
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_BASE = 0x9E3779B97F4A7C15 | 1
+BASE = 0x9E3779B97F4A7C15 | 1
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,11 +53,11 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _inverse(odd: int) -> int:
+def inverse(odd: int) -> int:
     return pow(odd, -1, 1 << 64)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
     out = np.empty(max(n, 1), np.uint64)
     out[0] = 1
     filled = 1
@@ -122,10 +122,9 @@ def hash_words(texts: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndarr
     first[cut] = inside[cut]
     last[cut - 1] = inside[cut - 1]
     start, stop = np.flatnonzero(first), np.flatnonzero(last) + 1
-    powers = _powers(_BASE, len(raw))
     sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(code * powers, out=sums[1:])
-    back = _powers(_inverse(_BASE), len(raw))
+    np.cumsum(code * powers(BASE, len(raw)), out=sums[1:])
+    back = powers(inverse(BASE), len(raw))
     value = (sums[stop] - sums[start]) * back[start]
     return mix64(value + (stop - start).astype(np.uint64)), np.searchsorted(start, ends)
 
@@ -137,5 +136,5 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     size = min(size, len(words))
     out = np.zeros(len(words) - size + 1, np.uint64)
     for i in range(size):
-        out = out * np.uint64(_BASE) + words[i : i + len(out)]
+        out = out * np.uint64(BASE) + words[i : i + len(out)]
     return mix64(out + np.uint64(size))

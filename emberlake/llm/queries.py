@@ -4,8 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emberlake.llm import minhash
-from emberlake.llm.common import read_table
+from emberlake.llm import minhash, packing, tiling, urlrules
+from emberlake.llm.common import materialize, read_table
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = materialize(packing.tokenize_pieces(read_table(spark, sf_dir, "documents"), with_ids=False))
+    return packing.pack(pieces)
+
+
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlrules.judge(read_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "mined")
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +27,9 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_packing": op1_packing,
+    "op4_decontaminate": op4_decontaminate,
+    "op8_url_rules": op8_url_rules,
     "op10_minhash": op10_minhash,
 }
 
