@@ -103,20 +103,32 @@ def text_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int
 def hash_words(texts: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words of all rows in order, and where each row's words begin (one more
     offset than rows). A word's hash depends on its bytes alone."""
+    _, hashes, starts, _, _ = hash_runs(texts, table, table != 0)
+    return hashes, starts
+
+
+def hash_runs(
+    texts: pa.Array, table: np.ndarray, kinds: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As ``hash_words`` for runs of bytes of one kind (0: between runs): the bytes of all rows, hashes,
+    offsets by row, and where in the bytes each run begins and ends."""
     n = len(texts)
     ends = np.frombuffer(texts.buffers()[1], np.int64, n + 1, texts.offset * 8)
     data = texts.buffers()[2]
     if data is None or ends[0] == ends[-1]:
-        return np.empty(0, np.uint64), np.zeros(n + 1, np.int64)
+        none = np.empty(0, np.int64)
+        return np.empty(0, np.uint8), np.empty(0, np.uint64), np.zeros(n + 1, np.int64), none, none
     raw = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]]
     ends = ends - ends[0]
     code = table[raw]
-    inside = code != 0
-    # A word begins where a non-blank follows a blank or a row's start, and ends alike.
+    kind = kinds[raw]
+    inside = kind != 0
+    # A run begins where the kind changes or a row starts, and ends alike.
+    turn = kind[1:] != kind[:-1]
     first = inside.copy()
-    first[1:] &= ~inside[:-1]
+    first[1:] &= turn
     last = inside.copy()
-    last[:-1] &= ~inside[1:]
+    last[:-1] &= turn
     cut = ends[1:-1]
     cut = cut[(cut > 0) & (cut < len(raw))]
     first[cut] = inside[cut]
@@ -126,7 +138,7 @@ def hash_words(texts: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndarr
     np.cumsum(code * powers(BASE, len(raw)), out=sums[1:])
     back = powers(inverse(BASE), len(raw))
     value = (sums[stop] - sums[start]) * back[start]
-    return mix64(value + (stop - start).astype(np.uint64)), np.searchsorted(start, ends)
+    return raw, mix64(value + (stop - start).astype(np.uint64)), np.searchsorted(start, ends), start, stop
 
 
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
