@@ -32,6 +32,27 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Ids that are broadcast at most; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def fresh(name: str, columns: list[str]) -> str:
+    """``name``, with underscores in front until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def drop_ids(rows: DataFrame, judged: DataFrame, stays: str, id_col: str = "doc_id") -> DataFrame:
+    """``rows`` without those whose id has no judged row with ``stays``. An id without judgement stays."""
+    name = fresh("dropped_id", rows.columns)
+    gone = judged.groupBy(F.col(id_col).alias(name)).agg(F.bool_or(stays).alias("s")).filter("NOT s").select(name)
+    gone = materialize(gone)
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    return rows.join(gone, F.col(id_col).eqNullSafe(F.col(name)), "left_anti")
+
+
 def crc_mod(column: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus

@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emberlake.llm.common import fresh
+
 SEQUENCE = 4096
 GROUP_PIECES = 8192
 #: Words a worker remembers the ids of (about 100 bytes each); beyond that it starts afresh.
@@ -218,17 +220,17 @@ def pack(
     score: str = "norm",
     group_pieces: int = GROUP_PIECES,
 ) -> DataFrame:
-    """``pieces`` (a stored table) with sequence_id and offset. ``documents`` and ``attention`` bound the
+    """``pieces`` (a stored table) with sequence_id and offset, which replace columns of these names. ``documents`` and ``attention`` bound the
     pieces and the summed squared lengths of a sequence; without them they don't bind."""
     capacity = np.array([sequence, documents or sequence, attention or sequence * sequence], float)
     weight = np.array(weights, float)
-    columns = pieces.columns
     if score not in ("norm", "dot"):
         raise ValueError("score is norm or dot")
-    if taken := {"sequence_id", "offset", "_group"} & set(columns):
-        raise ValueError(f"columns {sorted(taken)} are there already")
+    pieces = pieces.drop("sequence_id", "offset")
+    columns = pieces.columns
+    dealt_to = fresh("group", columns)
     groups = max(1, -(-pieces.count() // group_pieces))
-    dealt = pieces.withColumn("_group", (F.rand(17) * groups).cast("long"))
+    dealt = pieces.withColumn(dealt_to, (F.rand(17) * groups).cast("long"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
@@ -240,10 +242,10 @@ def pack(
         first = np.r_[True, np.diff(bins[place]) != 0] if len(place) else np.empty(0, bool)
         offset = np.empty(len(size), np.int64)
         offset[place] = before - np.maximum.accumulate(np.where(first, before, 0))
-        group = int(rows["_group"].iloc[0])
+        group = int(rows[dealt_to].iloc[0])
         return rows[columns].assign(sequence_id=(group << 32) + bins, offset=offset)
 
-    return dealt.groupBy("_group").applyInPandas(run, f"{schema}, sequence_id long, offset long")
+    return dealt.groupBy(dealt_to).applyInPandas(run, f"{schema}, sequence_id long, offset long")
 
 
 def sequences(packed: DataFrame, ids_col: str = "ids") -> DataFrame:

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from emberlake.llm import minhash, packing, tiling, urlrules
-from emberlake.llm.common import materialize, read_table
+from emberlake.llm import langid, minhash, packing, quality, secrets, tiling, urlrules
+from emberlake.llm.common import crc_mod, materialize, read_table
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,10 +14,38 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate's places, judged; the value by its digest."""
+    found = secrets.scan(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.explode("starts").alias("start"),
+        F.length("value").alias("length"),
+        F.sha2("value", 256).alias("value_sha256"),
+        "probability",
+        "secret",
+    )
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = read_table(spark, sf_dir, "documents"), crc_mod("doc_id", 4) == 2
+    weights = quality.train(docs, read_table(spark, sf_dir, "labels"), where=~held_out)
+    return quality.score(docs, weights).select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+    )
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read_table(spark, sf_dir, "documents"))
+
+
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge(read_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "mined")
 
@@ -28,7 +57,10 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_secrets": op2_secrets,
     "op4_decontaminate": op4_decontaminate,
+    "op5_quality": op5_quality,
+    "op6_language": op6_language,
     "op8_url_rules": op8_url_rules,
     "op10_minhash": op10_minhash,
 }
