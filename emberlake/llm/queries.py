@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlake.llm import langid, minhash, packing, quality, secrets, tiling, urlrules
+from emberlake.llm import langid, minhash, packing, ppm, quality, secrets, tiling, urlrules
 from emberlake.llm.common import crc_mod, materialize, read_table
 
 
@@ -50,6 +50,13 @@ def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge(read_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "mined")
 
 
+def op9_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_mod("doc_id", 5) == 1, F.lit(False))
+    scored = ppm.score(docs, docs.filter(~held_out))
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=2)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -62,6 +69,7 @@ QUERIES = {
     "op5_quality": op5_quality,
     "op6_language": op6_language,
     "op8_url_rules": op8_url_rules,
+    "op9_ppm": op9_ppm,
     "op10_minhash": op10_minhash,
 }
 
