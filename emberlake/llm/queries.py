@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlake.llm import langid, minhash, packing, ppm, quality, secrets, tiling, urlrules
+from emberlake.llm import langid, minhash, packing, ppm, quality, secrets, spotsigs, tiling, urlrules
 from emberlake.llm.common import crc_mod, materialize, read_table
 
 
@@ -27,6 +27,10 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprint_neighbours(read_table(spark, sf_dir, "documents"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -65,6 +69,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_secrets": op2_secrets,
+    "op3_spotsigs": op3_spotsigs,
     "op4_decontaminate": op4_decontaminate,
     "op5_quality": op5_quality,
     "op6_language": op6_language,
