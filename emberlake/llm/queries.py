@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlake.llm import langid, minhash, packing, ppm, quality, secrets, spotsigs, tiling, urlrules
+from emberlake.llm import htmltext, langid, minhash, packing, ppm, quality, secrets, spotsigs, tiling, urlrules
 from emberlake.llm.common import crc_mod, materialize, read_table
 
 
@@ -50,6 +50,11 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read_table(spark, sf_dir, "documents"))
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return htmltext.extract(pages, htmltext.train(pages), keep=["page_id", "url"])
+
+
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge(read_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "mined")
 
@@ -73,6 +78,7 @@ QUERIES = {
     "op4_decontaminate": op4_decontaminate,
     "op5_quality": op5_quality,
     "op6_language": op6_language,
+    "op7_html": op7_html,
     "op8_url_rules": op8_url_rules,
     "op9_ppm": op9_ppm,
     "op10_minhash": op10_minhash,
