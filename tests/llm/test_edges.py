@@ -1,0 +1,67 @@
+"""Every dealt operator over hard rows, with clashing column names, and over empty tables."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from emberlake.llm import htmltext, langid, minhash, packing, ppm, quality, secrets, spotsigs, tiling, urlrules
+from emberlake.llm.common import materialize
+
+from .conftest import PROSE, hard_rows
+
+
+def items(docs):
+    return docs.select(F.col("doc_id").alias("item_id"), "text").limit(2)
+
+
+def labels(docs):
+    return docs.select("doc_id", (F.col("doc_id") % 2).alias("quality"))
+
+
+RUNS = {
+    "packing": lambda d: packing.pack(materialize(packing.tokenize_pieces(d))),
+    "secrets": lambda d: secrets.redact(d, secrets.scan(d)),
+    "spotsigs": lambda d: spotsigs.fingerprint_neighbours(d),
+    "tiling": lambda d: tiling.contamination(d, items(d)),
+    "quality": lambda d: quality.score(d, quality.train(d, labels(d))),
+    "langid": lambda d: langid.identify(d),
+    "html": lambda d: htmltext.extract(d, htmltext.train(d, "text"), "text", keep=["doc_id"]),
+    "urls": lambda d: urlrules.judge(d, "text"),
+    "ppm": lambda d: ppm.score(d, d),
+    "minhash": lambda d: minhash.near_duplicates(d),
+}
+
+
+@pytest.mark.parametrize("name", RUNS)
+def test_hard_rows(documents, name):
+    docs = documents(hard_rows(), clash=True)
+    rows = RUNS[name](docs).collect()
+    if name == "packing":
+        assert {r["doc_id"] for r in rows} == {r[0] for r in hard_rows()}
+        assert len([r for r in rows if r["doc_id"] == 4]) == 1
+    else:
+        assert sorted(str(r["doc_id"]) for r in rows) == sorted(str(r[0]) for r in hard_rows())
+
+
+@pytest.mark.parametrize("name", RUNS)
+def test_empty_table(documents, name):
+    assert RUNS[name](documents([])).collect() == []
+
+
+@pytest.mark.parametrize("name", RUNS)
+def test_only_nulls(documents, name):
+    docs = documents([(None, None, None, None)] * 2)
+    assert [r["doc_id"] for r in RUNS[name](docs).collect()] == [None, None]
+
+
+def test_defined_results(documents):
+    docs = documents(hard_rows())
+    spoken = {r["doc_id"]: r for r in langid.identify(docs).collect()}
+    assert not spoken[3]["accepted"] and spoken[3]["language"] == "und" and spoken[3]["posterior"] == 0
+    assert spoken[2]["language"] == "en" and spoken[7]["language"] == "fr" and spoken[7]["accepted"]
+    near = {r["doc_id"]: r for r in minhash.near_duplicates(docs).collect() if r["doc_id"] is not None}
+    assert near[2]["component_id"] == 1 and not near[2]["kept"] and near[1]["kept"]
+    assert near[4]["n_shingles"] == 0 and near[4]["kept"] and near[5]["component_id"] == 5
+    clean = {r["doc_id"]: r for r in tiling.contamination(docs, documents([(1, None)]).withColumnRenamed("doc_id", "item_id")).collect()}
+    assert not any(r["contaminated"] for r in clean.values())
+    assert {r["doc_id"]: r for r in ppm.score(docs, docs.limit(0)).collect()}[4]["n_tokens"] == 1
+    assert PROSE["en"] in secrets.redact(docs, secrets.scan(docs)).filter("doc_id = 1").first()["text"]
