@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 from emberlake.plans import jobs
 from emberlake.schema import GOLD_TABLES
+from emberlake.sources.bronze import LAYOUTS
 from emberlake.sources.lake import Lake
 
 
@@ -28,6 +29,14 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument(
         "--no-compact", action="store_true", help="write silver without a shuffle (large backfills)"
     )
+    parser.add_argument(
+        "--layout",
+        choices=LAYOUTS,
+        default="snapshot",
+        help="bronze holds the whole file under every date, or each row once under its own",
+    )
+    for layer in ("bronze", "silver", "gold"):
+        parser.add_argument(f"--{layer}-path", help=f"the {layer} tables' path below the root, as in an existing lake")
     args = parser.parse_args(argv)
     if args.step in ("bronze", "all") and not args.source:
         parser.error("--source is needed to land bronze")
@@ -44,12 +53,14 @@ def dates_of(args: argparse.Namespace) -> list[dt.date]:
 
 def main(argv: list[str] | None = None) -> None:
     args = parse_args(argv)
-    dates, lake = dates_of(args), Lake(args.root)
+    dates = dates_of(args)
+    paths = {f"{n}_path": getattr(args, f"{n}_path") for n in ("bronze", "silver", "gold")}
+    lake = Lake(args.root, **{name: path for name, path in paths.items() if path})
     spark = SparkSession.builder.appName(f"emberlake-{args.step}").getOrCreate()
     if args.step in ("bronze", "all"):
-        jobs.bronze_job(spark, lake, args.source, dates)
+        jobs.bronze_job(spark, lake, args.source, dates, args.layout)
     if args.step in ("silver", "all"):
-        jobs.silver_job(spark, lake, dates, compact=not args.no_compact)
+        jobs.silver_job(spark, lake, dates, compact=not args.no_compact and args.layout != "by_date")
     if args.step in ("gold", "all"):
         jobs.gold_job(spark, lake, dates)
     elif args.step in GOLD_TABLES:

@@ -32,5 +32,6 @@ def zero_filled(metric: Metric) -> Column:
 
 def round_cents(value: Column) -> Column:
     """Two decimals, half up on the decimal value, so the result does not hang on the last binary
-    digits of a sum. A double too large for the decimal holds no fraction and is kept as it is."""
-    return F.coalesce(F.round(value.try_cast("decimal(28,8)"), 2).cast("double"), value)
+    digits of a sum. Only values less than 5e-13 below a tie differ from rounding the double itself. A double
+    too large for the decimal holds no fraction and is kept as it is."""
+    return F.coalesce(F.round(value.try_cast("decimal(38,12)"), 2).cast("double"), value)

@@ -5,10 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from emberlake.operators.gold import (
     finish_measures,
@@ -20,7 +22,7 @@ from emberlake.operators.silver import build_silver
 from emberlake.schema import GOLD_TABLES, REFERENCE_SATELLITE, SILVER_SCHEMA, gold_schema
 from emberlake.sources import bronze
 from emberlake.sources.lake import Lake, read_dates, write_dates
-from emberlake.sources.shared import cut_lineage
+from emberlake.sources.shared import stored_once
 
 
 def yesterday() -> dt.date:
@@ -28,9 +30,16 @@ def yesterday() -> dt.date:
     return dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=1)
 
 
-def bronze_job(spark: SparkSession, lake: Lake, source: str, dates: Sequence[dt.date]) -> None:
-    """Lands the monthly CSV files behind ``dates``."""
-    bronze.land(spark, source, lake.bronze, dates)
+def bronze_job(
+    spark: SparkSession,
+    lake: Lake,
+    source: str,
+    dates: Sequence[dt.date],
+    layout: str = "snapshot",
+    compact: bool = True,
+) -> None:
+    """Lands the monthly CSV files behind ``dates``, as ``bronze.route_to_dates`` says of ``layout``."""
+    bronze.land(spark, source, lake.bronze, dates, layout, compact)
 
 
 def silver_job(
@@ -52,9 +61,21 @@ def silver_job(
 
 
 def read_silver(
-    spark: SparkSession, lake: Lake, dates: Sequence[dt.date] | None = None
+    spark: SparkSession,
+    lake: Lake,
+    dates: Sequence[dt.date] | None = None,
+    source_zone: str | None = None,
 ) -> DataFrame:
-    return read_dates(spark, lake.silver, SILVER_SCHEMA, dates)
+    """``source_zone`` is for files of a writer that stored ``data_hora_gmt`` as an instant, taking the text
+    for local time of that zone: it is turned back into the time as written."""
+    if source_zone is None:
+        return read_dates(spark, lake.silver, SILVER_SCHEMA, dates)
+    zoned = T.StructType(
+        [T.StructField(f.name, T.TimestampType()) if f.name == "data_hora_gmt" else f for f in SILVER_SCHEMA]
+    )
+    session_clock = F.col("data_hora_gmt").cast("timestamp_ntz")
+    written = F.convert_timezone(F.current_timezone(), F.lit(source_zone), session_clock)
+    return read_dates(spark, lake.silver, zoned, dates).withColumn("data_hora_gmt", written)
 
 
 def read_gold(
@@ -80,20 +101,19 @@ def gold_job(
     rows = reference_rows(read_silver(spark, lake, dates), satellite)
     keys = sorted({key for table in tables for key in GOLD_TABLES[table]})
     measures = partial_measures(rows, keys)
-    if len(tables) > 1:
-        measures = cut_lineage(measures)
+    with stored_once(measures) if len(tables) > 1 else nullcontext(measures) as stored:
 
-    def write(table: str) -> None:
-        own = list(GOLD_TABLES[table])
-        rolled = measures if sorted(own) == keys else merge_measures(measures, own)
-        gold = finish_measures(rolled, own, version_ts)
-        write_dates(gold, lake.gold(table), dates, order_by=[F.desc("QUANTIDADE_FOCO")])
+        def write(table: str) -> None:
+            own = list(GOLD_TABLES[table])
+            rolled = stored if sorted(own) == keys else merge_measures(stored, own)
+            gold = finish_measures(rolled, own, version_ts)
+            write_dates(gold, lake.gold(table), dates, order_by=[F.desc("QUANTIDADE_FOCO")])
 
-    with ThreadPoolExecutor(len(tables)) as pool:
-        # Each thread carries the caller's tags, job group and scheduler pool.
-        running = [pool.submit(inheritable_thread_target(spark)(write), t) for t in tables]
-        for job in running:
-            job.result()
+        with ThreadPoolExecutor(len(tables)) as pool:
+            # Each thread carries the caller's tags, job group and scheduler pool.
+            running = [pool.submit(inheritable_thread_target(spark)(write), t) for t in tables]
+            for job in running:
+                job.result()
 
 
 def daily_chain(
@@ -102,10 +122,15 @@ def daily_chain(
     source: str,
     dates: Sequence[dt.date] | None = None,
     version_ts: dt.datetime | None = None,
-    compact: bool = True,
+    layout: str = "snapshot",
+    compact: bool | None = None,
 ) -> None:
-    """Land, silver, then the three gold tables, all for the same dates."""
+    """Land, silver, then the three gold tables, all for the same dates.
+
+    Landing ``by_date`` brings a date's own rows together, so silver is then written without another
+    shuffle unless ``compact`` asks for it.
+    """
     dates = sorted(set(dates)) if dates else [yesterday()]
-    bronze_job(spark, lake, source, dates)
-    silver_job(spark, lake, dates, version_ts, compact)
+    bronze_job(spark, lake, source, dates, layout)
+    silver_job(spark, lake, dates, version_ts, layout != "by_date" if compact is None else compact)
     gold_job(spark, lake, dates, version_ts=version_ts)

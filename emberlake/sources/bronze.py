@@ -1,4 +1,8 @@
-"""Raw hotspot CSV: scanning it, and landing it in date partitions."""
+"""Raw hotspot CSV: scanning it, and landing it in date partitions.
+
+Files are matched by their own header: a column may stand anywhere, be missing from the files of one month
+or be there in addition. Landed rows keep every column of their source.
+"""
 
 from __future__ import annotations
 
@@ -19,29 +23,67 @@ _CSV_WRITE = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
+LAYOUTS = ("snapshot", "by_date")
+
+
+def _files_by_header(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
+    """The non-empty files under ``paths``, those with the same first line together.
+
+    One job reads the lines of the files without shuffling more than a line per file and task; the files'
+    names, which Spark's own listing brings to the driver too, are all that is collected.
+    """
+    lines = spark.read.text(list(paths))
+    first = lines.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
+        "value",
+    )
+    headers = first.groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    groups = headers.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    return sorted(row["files"] for row in groups.collect())
+
+
+def _scan(spark: SparkSession, paths: Sequence[str], base: str | None = None) -> DataFrame | None:
+    """All columns of the CSV files under ``paths`` as text, each file by its own header; None without
+    files. Needed columns get their usual spelling."""
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    reader = reader.option("basePath", base) if base else reader
+    usual = {c.lower(): c for c in (*BRONZE_COLUMNS, *DATE_COLUMNS)}
+    frames = []
+    for files in _files_by_header(spark, paths):
+        df = reader.csv(files)
+        frames.append(df.toDF(*(usual.get(c.lower(), c) for c in df.columns)))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """The needed columns of one CSV layout as text, matched by header name in any order."""
-    return _by_name(spark.read.option("header", True).csv(path), path)
+def read_raw(spark: SparkSession, path: str, all_columns: bool = False) -> DataFrame:
+    """The needed columns of the CSV files under ``path`` as text, and the others behind them if asked for."""
+    return _needed(_scan(spark, [path]), path, all_columns=all_columns)
 
 
 def read_bronze(
-    spark: SparkSession, table: str, dates: Sequence[dt.date] | None = None
+    spark: SparkSession,
+    table: str,
+    dates: Sequence[dt.date] | None = None,
+    all_columns: bool = False,
 ) -> DataFrame:
-    """Landed rows of ``dates`` with their partition columns. Files are matched by header name, and
-    a file whose header differs from the others fails instead of loading shifted columns."""
-    reader = spark.read.option("header", True).option("enforceSchema", False)
-    df = reader.option("basePath", table).csv(date_leaves(table, dates))
-    return _by_name(df, table, DATE_COLUMNS)
+    """Landed rows of ``dates`` with their partition columns, zero-padded as on disk."""
+    df = _needed(_scan(spark, date_leaves(table, dates), table), table, DATE_COLUMNS, all_columns)
+    width = dict(zip(DATE_COLUMNS, (4, 2, 2)))
+    return df.withColumns({c: F.lpad(F.col(c).cast("string"), n, "0") for c, n in width.items()})
 
 
-def _by_name(df: DataFrame, path: str, extra: Sequence[str] = ()) -> DataFrame:
-    present = {c.lower() for c in df.columns}
-    absent = [c for c in (*BRONZE_COLUMNS, *extra) if c not in present]
+def _needed(
+    df: DataFrame | None, path: str, extra: Sequence[str] = (), all_columns: bool = False
+) -> DataFrame:
+    """Checks the needed columns and puts them first, then others, then ``extra``."""
+    if df is None:
+        raise ValueError(f"{path} holds no CSV file with a header")
+    absent = [c for c in (*BRONZE_COLUMNS, *extra) if c not in df.columns]
     if absent:
         raise ValueError(f"{path} lacks the columns {', '.join(absent)}")
-    return df.select(*(F.col(c).alias(c) for c in (*BRONZE_COLUMNS, *extra)))
+    others = [c for c in df.columns if c not in (*BRONZE_COLUMNS, *extra)] if all_columns else []
+    return df.select(*(F.col(f"`{c}`") for c in (*BRONZE_COLUMNS, *others, *extra)))
 
 
 def month_path(source: str, date: dt.date) -> str:
@@ -49,35 +91,50 @@ def month_path(source: str, date: dt.date) -> str:
     return source.format(month=f"{date:%Y%m}")
 
 
-def route_to_dates(raw: DataFrame, dates: Sequence[dt.date]) -> DataFrame:
-    """Adds ``DATREF``, the extract date each raw row lands in.
+def route_to_dates(raw: DataFrame, dates: Sequence[dt.date], layout: str = "snapshot") -> DataFrame:
+    """Adds ``DATREF``, the extract dates each raw row lands in.
 
-    For one date that is the date, as in a daily run. For several dates of the same file each row
-    lands once: in its own date when that is asked for, else in the latest date of the file. A date's
-    silver rows are the same as if every date had received its own copy of the file.
+    ``snapshot``: the whole file under every date, as in daily runs. ``by_date``, for backfills: each row
+    once, in its own date when that is asked for, else in the latest date of the file. Silver and gold are
+    the same from both.
     """
-    latest = F.lit(f"{max(dates):%Y%m%d}")
-    if len(dates) == 1:
-        return raw.withColumn("DATREF", latest)
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout is one of {', '.join(LAYOUTS)}")
+    if layout == "snapshot":
+        texts = F.array(*(F.lit(f"{d:%Y%m%d}") for d in dates))
+        return raw.withColumn("DATREF", F.explode(texts))
     own = F.to_date(wall_clock("data_hora_gmt"))
+    latest = F.lit(f"{max(dates):%Y%m%d}")
     landed = F.when(own.isin(*dates), F.date_format(own, "yyyyMMdd")).otherwise(latest)
     return raw.withColumn("DATREF", landed)
 
 
-def land(spark: SparkSession, source: str, table: str, dates: Sequence[dt.date]) -> None:
-    """Lands the monthly files behind ``dates`` in the bronze table, values unchanged, all months in
-    one job. A single date needs no shuffle: its partition is known."""
+def land(
+    spark: SparkSession,
+    source: str,
+    table: str,
+    dates: Sequence[dt.date],
+    layout: str = "snapshot",
+    compact: bool = True,
+) -> None:
+    """Lands the monthly files behind ``dates`` in the bronze table, with all columns and values unchanged,
+    all months in one job. What a date holds depends on ``layout`` alone, not on the other dates of the
+    call. ``compact=False`` saves the shuffle that brings a date's rows together in few files."""
     months: dict[str, list[dt.date]] = {}
     for date in dates:
         months.setdefault(month_path(source, date), []).append(date)
-    routed = [route_to_dates(read_raw(spark, path), days) for path, days in months.items()]
-    rows = reduce(DataFrame.unionByName, routed)
+    routed = [
+        route_to_dates(read_raw(spark, path, all_columns=True), days, layout)
+        for path, days in months.items()
+    ]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), routed)
     write_dates(
         rows,
         table,
         dates,
-        columns=BRONZE_COLUMNS,
+        columns=[c for c in rows.columns if c != "DATREF"],
         fmt="csv",
         options=_CSV_WRITE,
-        compact=len(dates) > 1,
+        compact=compact,
     )
+

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -15,6 +17,9 @@ from emberlake.schema import DATE_COLUMNS
 _PARTITIONS_PER_DATE = 16
 # Beyond this a shuffle keeps only average block sizes, and large dates would go unnoticed.
 _MAX_PARTITIONS = 2000
+_SALTS = 8
+# How long the set of written dates may take to arrive after the write has ended.
+_OBSERVE_SECONDS = 600
 
 
 @dataclass(frozen=True)
@@ -78,13 +83,16 @@ def write_dates(
     and cut to ``columns``.
 
     Other dates stay. The new files are staged and swapped in when the job commits, so a failed or
-    retried job leaves the old date. A date of ``dates`` without rows is replaced by an empty file.
+    retried job leaves the old date. A date of ``dates`` without rows is replaced by an empty file; that
+    happens right after the commit, so a driver that is lost in between leaves such a date's old rows until
+    the call is repeated. However many dates are empty, they take one job and file system calls.
 
     With ``compact`` the rows are rebalanced on the date first: a small date becomes one file, and
     adaptive execution splits a large one by size, so no date passes through a single task. There are
     several times more hash partitions than dates, so that a small date seldom shares one with a large
-    date and its splits; adaptive execution joins the empty and small ones again. Without ``compact``
-    each task writes what it has, with no shuffle.
+    date and its splits; adaptive execution joins the empty and small ones again. In a session without
+    adaptive execution a date is dealt to at most ``_SALTS`` tasks instead. Without ``compact`` each task
+    writes what it has, with no shuffle.
     """
     options = options or {}
     columns = columns or df.columns
@@ -96,11 +104,7 @@ def write_dates(
         F.substring("DATREF", 7, 2).alias("extract_day"),
     )
     if compact:
-        partitions = max(
-            int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-            min(_PARTITIONS_PER_DATE * len(dates), _MAX_PARTITIONS),
-        )
-        placed = placed.hint("rebalance", partitions, *DATE_COLUMNS)
+        placed = _by_date(placed, len(dates))
     # At most one entry per requested date; a set, so a retried task changes nothing.
     placed = placed.observe(seen, F.collect_set(F.concat(*DATE_COLUMNS)).alias("dates"))
     if order_by:
@@ -113,9 +117,53 @@ def write_dates(
         .partitionBy(*DATE_COLUMNS)
         .save(table)
     )
-    written = set(seen.get["dates"])
-    # A filter that is never true: Catalyst plans no scan for it.
-    empty = df.select(*columns).where(F.lit(False))
-    for date in dates:
-        if f"{date:%Y%m%d}" not in written:
-            empty.write.mode("overwrite").format(fmt).options(**options).save(date_leaf(table, date))
+    written = set(_within(_OBSERVE_SECONDS, lambda: seen.get["dates"]))
+    empty = [date_leaf(table, d) for d in dates if f"{d:%Y%m%d}" not in written]
+    if empty:
+        # A filter that is never true: Catalyst plans no scan for it.
+        _empty_leaves(df.select(*columns).where(F.lit(False)), table, empty, fmt, options)
+
+
+def _by_date(placed: DataFrame, dates: int) -> DataFrame:
+    conf = placed.sparkSession.conf
+    asked = int(conf.get("spark.sql.shuffle.partitions"))
+    partitions = min(max(asked, _PARTITIONS_PER_DATE * dates), _MAX_PARTITIONS)
+    if conf.get("spark.sql.adaptive.enabled") == "true":
+        return placed.hint("rebalance", partitions, *DATE_COLUMNS)
+    salt = (F.rand(1) * _SALTS).cast("int")
+    return placed.withColumn("_salt", salt).repartition(partitions, *DATE_COLUMNS, "_salt").drop("_salt")
+
+
+def _within(seconds: float, call):
+    """The result of ``call``; raises when it takes longer, as when a listener event was dropped."""
+    pool = ThreadPoolExecutor(1)
+    try:
+        return pool.submit(call).result(timeout=seconds)
+    finally:
+        pool.shutdown(wait=False)
+
+
+def _empty_leaves(
+    nothing: DataFrame, table: str, leaves: Sequence[str], fmt: str, options: dict[str, str]
+) -> None:
+    """Replaces each leaf by a copy of one empty file, side by side."""
+    spark = nothing.sparkSession
+    template = f"{table}/_empty-{uuid.uuid4().hex}"  # readers skip names that begin so
+    nothing.coalesce(1).write.format(fmt).options(**options).save(template)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    files = path(template).getFileSystem(conf)
+    made = [f.getPath() for f in files.globStatus(path(f"{template}/part-*"))]
+
+    def replace(leaf: str) -> None:
+        files.delete(path(leaf), True)
+        files.mkdirs(path(leaf))
+        for file in made:
+            target = path(leaf, file.getName())
+            jvm.org.apache.hadoop.fs.FileUtil.copy(files, file, files, target, False, conf)
+
+    try:
+        with ThreadPoolExecutor(min(16, len(leaves))) as pool:
+            list(pool.map(replace, leaves))
+    finally:
+        files.delete(path(template), True)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,13 +24,21 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession) -> str:
-    """A new path of its own for one scratch lake."""
+    """A new path of its own for one scratch table or lake. What is written there belongs to the caller: a
+    query's result is read from it later, so it stays until the folder of the application is cleared."""
     app = spark.sparkContext.applicationId
     return f"{shared_folder(spark)}/emberlake/{app}/{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Writes ``df`` to the shared folder once, so that later jobs neither repeat its work nor lose
-    it with an executor."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+@contextmanager
+def stored_once(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` written to the shared folder, so that jobs in the block neither repeat its work nor lose it
+    with an executor. The files are removed at the end."""
+    spark = df.sparkSession
+    path = scratch_path(spark)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

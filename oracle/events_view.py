@@ -103,3 +103,16 @@ def write_month_files(spark: SparkSession, sf_dir: str, folder: str) -> str:
     raw = raw_hotspots(spark, sf_dir).withColumn("month", F.date_format("event_day", "yyyyMM"))
     raw.select(*BRONZE_COLUMNS, "month").write.partitionBy("month").option("header", True).csv(folder)
     return folder + "/month={month}"
+
+
+def write_mixed_files(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """As ``write_month_files``, but rows of odd days have a column more and their columns the other way
+    round, so that a month's folder holds files of two headers."""
+    raw = raw_hotspots(spark, sf_dir)
+    day = F.dayofmonth("event_day")
+    raw = raw.withColumns({"month": F.date_format("event_day", "yyyyMM"), "nova": F.concat(F.lit("N"), day.cast("string"))})
+    plain = raw.where(day % 2 == 0).select(*BRONZE_COLUMNS, "month")
+    turned = raw.where(day % 2 == 1).select("nova", *reversed(BRONZE_COLUMNS), "month")
+    for part in (plain, turned):
+        part.write.mode("append").partitionBy("month").option("header", True).csv(folder)
+    return folder + "/month={month}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# Column names and labels of the published data.
 METRIC_LABELS = {
     "frp": "FRP",
     "numero_dias_sem_chuva": "DIAS_SEM_CHUVA",
@@ -73,6 +74,14 @@ _LANDED = """bronze AS (
   FROM raw
 )"""
 
+# The whole month file under every date of that month between the table's first and last day.
+_SNAPSHOT = """bronze AS (
+  SELECT raw.*, CAST(day AS DATE) AS extract_date
+  FROM raw JOIN (
+    SELECT unnest(generate_series(min(CAST(ts AS DATE)), max(CAST(ts AS DATE)), INTERVAL 1 DAY)) AS day FROM events
+  ) AS days ON date_trunc('month', day) = date_trunc('month', event_day)
+)"""
+
 _OF_DAY = """of_day AS (
   SELECT * FROM bronze WHERE CAST(TRY_CAST(data_hora_gmt AS TIMESTAMP) AS DATE) = extract_date
 )"""
@@ -142,7 +151,7 @@ def _statistics() -> str:
             if column == "numero_dias_sem_chuva" and name != "avg":
                 typed = f"CAST({value} AS {'BIGINT' if name == 'sum' else 'INTEGER'})"
             else:
-                typed = f"CAST(round(CAST({value} AS DECIMAL(28,8)), 2) AS DOUBLE)"
+                typed = f"CAST(round(CAST({value} AS DECIMAL(38,12)), 2) AS DOUBLE)"
             lines.append(f'CASE WHEN {valid} > 0 THEN {typed} END AS "{name.upper()}_{label}"')
     return ",\n  ".join(lines)
 
@@ -197,6 +206,13 @@ def oracle_sql() -> dict[str, str]:
     sql = {
         "bronze_scan": _with(_RAW) + f"SELECT {_RAW_COLUMNS} FROM raw",
         "bronze_landing": _with(_RAW, _LANDED) + f"SELECT {_RAW_COLUMNS},\n    {_EXTRACT} FROM bronze",
+        "bronze_snapshot": _with(_RAW, _SNAPSHOT) + f"SELECT {_RAW_COLUMNS},\n    {_EXTRACT} FROM bronze",
+        "bronze_mixed_headers": _with(_RAW, _LANDED)
+        + f"""SELECT {_RAW_COLUMNS},
+    {_EXTRACT},
+    CASE WHEN event_day_number % 2 = 1 THEN 'N' || CAST(event_day_number AS VARCHAR) END AS nova
+FROM (SELECT *, day(event_day) AS event_day_number FROM bronze)""",
+        "chain_mixed_headers": _with(*_CHAIN) + f"SELECT {_SILVER_COLUMNS},\n    {split_date} FROM silver",
         "day_filter": _with(_RAW, _BRONZE, _OF_DAY)
         + f"SELECT {_RAW_COLUMNS},\n    {_EXTRACT} FROM of_day",
         "sentinel_clean": _with(_RAW, _BRONZE, _OF_DAY)

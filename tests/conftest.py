@@ -13,6 +13,7 @@ os.environ.setdefault("TZ", "UTC")
 DAY = dt.date(2024, 10, 5)
 VERSION = dt.datetime(2024, 10, 6, 13, 35)
 
+# The published header.
 HEADER = (
     "id,lat,lon,data_hora_gmt,satelite,municipio,estado,pais,municipio_id,estado_id,pais_id,"
     "numero_dias_sem_chuva,precipitacao,risco_fogo,bioma,frp"

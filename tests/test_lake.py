@@ -89,11 +89,31 @@ def test_many_dates_equal_single_runs(spark, tmp_path, month_csv):
         assert rows(jobs.read_gold(spark, together, table)) == rows(
             jobs.read_gold(spark, apart, table)
         )
-    # Each raw row lands once in the joint run; the unreadable one under the latest date.
-    landed = read_bronze(spark, together.bronze, dates)
+    # Bronze holds the same, whether dates are landed together or one by one.
+    assert read_bronze(spark, together.bronze, dates).count() == 36
+    assert rows(read_bronze(spark, together.bronze, dates)) == rows(read_bronze(spark, apart.bronze, dates))
+
+
+def test_layouts_differ_in_bronze_only(spark, tmp_path, month_csv):
+    whole, once = Lake(str(tmp_path / "whole")), Lake(str(tmp_path / "once"))
+    dates = [DAY4, DAY, DAY6]
+    jobs.daily_chain(spark, whole, month_csv, dates, VERSION)
+    jobs.daily_chain(spark, once, month_csv, dates, VERSION, layout="by_date")
+    landed = read_bronze(spark, once.bronze, dates)
     assert landed.count() == 12
-    assert landed.where("id = 'f09'").first().extract_day == 6
-    assert read_bronze(spark, apart.bronze, dates).count() == 36
+    assert landed.where("id = 'f09'").first().extract_day == "06"  # the unreadable one, under the latest
+    for table in GOLD_TABLES:
+        assert sorted(map(str, jobs.read_gold(spark, once, table).collect())) == sorted(
+            map(str, jobs.read_gold(spark, whole, table).collect())
+        )
+    with pytest.raises(ValueError, match="layout"):
+        jobs.bronze_job(spark, once, month_csv, dates, "other")
+
+
+def test_backfill_by_date_shuffles_once(spark, lake, month_csv):
+    jobs.bronze_job(spark, lake, month_csv, [DAY4, DAY], "by_date")
+    plan = plan_of(jobs.build_silver(read_bronze(spark, lake.bronze, [DAY4, DAY])))
+    assert "Exchange" not in plan
 
 
 def test_rerun_replaces_only_its_dates(spark, lake, month_csv):
@@ -160,14 +180,73 @@ def test_landed_values_are_unchanged(spark, lake, tmp_path):
     assert landed.where("id = '1'").first().municipio == "  padded  "
 
 
-def test_bronze_files_with_other_headers_fail(spark, lake):
+def test_files_are_matched_by_their_own_header(spark, lake, tmp_path):
+    """One folder, two header orders, one file with a column more: no value changes its column."""
+    folder = tmp_path / "202410"
+    folder.mkdir()
+    names = HEADER.split(",")
+    lines = [line.split(",") for line in ROWS.splitlines()]
+    turned = ["nova", *reversed(names)]
+    (folder / "a.csv").write_text("\n".join([HEADER, *(",".join(x) for x in lines[:6])]) + "\n", encoding="utf-8")
+    other = [",".join(["extra", *reversed(x)]) for x in lines[6:]]
+    (folder / "b.csv").write_text("\n".join([",".join(turned), *other]) + "\n", encoding="utf-8")
+    jobs.daily_chain(spark, lake, str(tmp_path / "{month}"), [DAY], VERSION)
+    for table in GOLD_TABLES:
+        assert gold_of(spark, lake, table, [DAY]) == GOLD[table]
+    landed = read_bronze(spark, lake.bronze, [DAY], all_columns=True)
+    assert {r.nova for r in landed.collect()} == {None, "extra"}
+    assert landed.where("nova = 'extra'").count() == 6
+    assert "nova" not in read_bronze(spark, lake.bronze, [DAY]).columns
+
+
+def test_bronze_dates_with_other_headers_are_united(spark, lake):
     for date, columns in ((DAY4, BRONZE_COLUMNS), (DAY, tuple(reversed(BRONZE_COLUMNS)))):
         leaf = Path(date_leaf(lake.bronze, date))
         leaf.mkdir(parents=True)
         (leaf / "table.csv").write_text(f"{','.join(columns)}\n{','.join(columns)}\n")
-    assert read_bronze(spark, lake.bronze, [DAY]).first().id == "id"
-    with pytest.raises(Exception, match="(?i)header"):
-        read_bronze(spark, lake.bronze, [DAY4, DAY]).collect()
+    rows = read_bronze(spark, lake.bronze, [DAY4, DAY]).select(*BRONZE_COLUMNS).collect()
+    assert [tuple(r) for r in rows] == [BRONZE_COLUMNS] * 2
+
+
+def test_missing_columns_are_named(spark, lake, tmp_path):
+    (tmp_path / "202410.csv").write_text("id,lat\n1,2\n")
+    with pytest.raises(ValueError, match="lacks the columns lon"):
+        jobs.bronze_job(spark, lake, str(tmp_path / "{month}.csv"), [DAY])
+
+
+def test_existing_lake_with_zoned_times(spark, tmp_path):
+    lake = Lake(str(tmp_path), silver_path="silver/old")
+    zone, before = "America/Sao_Paulo", spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "INT96")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        row = spark.range(1).select(
+            *(
+                F.lit("2024-10-05 22:30:00").cast("timestamp").alias(f.name) if f.name == "data_hora_gmt"
+                else F.lit(None).cast(f.dataType).alias(f.name)
+                for f in jobs.SILVER_SCHEMA
+            )
+        )
+        row.write.parquet(date_leaf(lake.silver, DAY))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+        spark.conf.unset("spark.sql.parquet.outputTimestampType")
+    assert jobs.read_silver(spark, lake, [DAY], zone).first().data_hora_gmt == dt.datetime(2024, 10, 5, 22, 30)
+
+
+def test_empty_dates_take_a_constant_number_of_jobs(spark, tmp_path, month_csv):
+    def jobs_for(days):
+        lake = Lake(str(tmp_path / f"lake{days}"))
+        group = f"empty-{days}"
+        spark.sparkContext.setJobGroup(group, group)
+        jobs.bronze_job(spark, lake, month_csv, [dt.date(2024, 10, 1) + dt.timedelta(days=n) for n in range(days)], "by_date")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        found = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        dates = [dt.date(2024, 10, 1) + dt.timedelta(days=n) for n in range(days)]
+        assert read_bronze(spark, lake.bronze, dates).count() == 12
+        return found
+
+    assert jobs_for(31) <= jobs_for(8) + 1
 
 
 def test_unwritten_date_raises(spark, lake, month_csv):
@@ -196,28 +275,44 @@ def test_one_gold_table_at_a_time(spark, lake, month_csv):
         assert gold_of(spark, lake, table, [DAY]) == GOLD[table]
 
 
-def test_large_date_is_split_and_small_dates_are_not(spark, lake):
+@pytest.mark.parametrize("partitions", [8, 2400, 8000])
+def test_large_date_is_split_and_small_dates_are_not(spark, lake, partitions):
     """One date holds most rows: it is written by several tasks, the others stay one file each."""
-    rows = spark.range(0, 200_000, 1, 8).select(
-        F.when(F.col("id") % 10 == 0, "20241004")
-        .when(F.col("id") % 10 == 1, "20241006")
-        .otherwise("20241005")
-        .alias("DATREF"),
-        F.sha2(F.col("id").cast("string"), 256).alias("text"),
-    )
-    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(size)
-    spark.conf.set(size, "2m")
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "2m", "spark.sql.shuffle.partitions": partitions}
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
-        write_dates(rows, lake.silver, [DAY4, DAY, DAY6])
+        write_dates(three_dates(spark), lake.silver, [DAY4, DAY, DAY6])
     finally:
-        spark.conf.set(size, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     assert len(files(date_leaf(lake.silver, DAY), "parquet")) >= 4
     assert len(files(date_leaf(lake.silver, DAY4), "parquet")) == 1
     assert len(files(date_leaf(lake.silver, DAY6), "parquet")) == 1
     assert spark.read.parquet(lake.silver).count() == 200_000
 
 
+def test_large_date_is_split_without_adaptive_execution(spark, lake):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        write_dates(three_dates(spark), lake.silver, [DAY4, DAY, DAY6])
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert 4 <= len(files(date_leaf(lake.silver, DAY), "parquet")) <= 8
+    assert spark.read.parquet(lake.silver).count() == 200_000
+
+
+def three_dates(spark):
+    return spark.range(0, 200_000, 1, 8).select(
+        F.when(F.col("id") % 10 == 0, "20241004")
+        .when(F.col("id") % 10 == 1, "20241006")
+        .otherwise("20241005")
+        .alias("DATREF"),
+        F.sha2(F.col("id").cast("string"), 256).alias("text"),
+    )
+
+
 def plan_of(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 

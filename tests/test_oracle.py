@@ -35,8 +35,9 @@ def db():
     connection.close()
 
 
-def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+def test_every_query_of_the_lake_has_sql():
+    corpus, checks = contract._corpus()
+    assert set(contract.queries()) - set(corpus) == set(contract.oracle_sql()) - set(checks)
 
 
 def test_entry(spark):
@@ -53,7 +54,7 @@ DUCK_TYPES = {
 }
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", contract.oracle_sql())
 def test_query(spark, db, name):
     result = contract.queries()[name](spark, SF_DIR)
     expected = db.sql(contract.oracle_sql()[name])
