@@ -60,6 +60,7 @@ _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
 MAX_TRAIN = 400
+SEQUENCES = 1500
 BATCH_PAGES = 128
 PATH_DIM, WORD_DIM, NUMBERS, HIDDEN = 128, 48, 4, 24
 EPOCHS, RATE, TRAIN_BATCH, TRAIN_BLOCKS = 10, 0.01, 32, 60
@@ -323,13 +324,14 @@ _MAIN_PATHS = [
 ]
 _OTHER_PATHS = [
     ("nav", "ul", "li"), ("header",), ("header", "div"), ("footer",), ("footer", "div"), ("aside",), ("aside", ".sidebar"), ("div", ".sidebar"),
-    ("div", ".ad"), ("div", ".advert"), ("div", ".ads"), ("form",), ("form", "label"), ("div", ".cookie", ".notice"), ("div", ".notice"),
+    ("div", ".ad"), ("div", ".advert"), ("div", ".ads"), ("form",), ("form",), ("form", "fieldset"), ("div", ".cookie", ".notice"), ("div", ".notice"),
     ("div", ".banner"), ("section", ".comments"), ("div", ".comments", "div", ".comment"), ("section", ".comments", "article"), ("ul", ".menu", "li"),
     ("div", ".menu"), ("div", ".newsletter", "form"), ("div", ".related", "ul", "li"), ("div", ".share"), ("div", ".promo"), ("div", ".popup"),
     ("div", ".breadcrumb"), ("div", ".header"), ("div", ".footer"), ("div", ".navigation", "ul", "li"), ("div", ".widget"), ("div", ".social"),
     ("div", ".comments", "ul", "li", "p"), ("button",), ("select", "option"), ("section", ".comments", "p"), ("aside", "p"), ("div", ".sponsored", "p"),
 ]
 _LEAVES = [("p",), ("h1",), ("h2",), ("h3",), ("ul", "li"), ("ol", "li"), ("blockquote",), ("blockquote", "p"), ("pre",), ("table", "tr", "td"), ("figure", "figcaption"), ("div",)]
+_INNER = [("p",), ("p",), ("div",), ("div", "p"), ("h3",), ("ul", "li")]
 
 
 def _varied(blocks: list[Block], labels: list[int], others: list[str], random: np.random.Generator) -> tuple[list[Block], list[int]]:
@@ -338,10 +340,13 @@ def _varied(blocks: list[Block], labels: list[int], others: list[str], random: n
     main = base + _MAIN_PATHS[random.integers(len(_MAIN_PATHS))]
     out, marks = [], []
 
+    def inner() -> tuple[str, ...]:
+        return _INNER[random.integers(len(_INNER))] if random.random() < 0.5 else ()
+
     def put() -> None:
         # Inside the main text's element or outside it.
         root = main if random.random() < 0.4 else base
-        path = root + _OTHER_PATHS[random.integers(len(_OTHER_PATHS))]
+        path = root + _OTHER_PATHS[random.integers(len(_OTHER_PATHS))] + inner()
         for _ in range(random.integers(1, 4)):
             words = others[random.integers(len(others))]
             text = words if random.random() < 0.5 else " ".join(words.split()[: random.integers(1, 8)])
@@ -358,7 +363,7 @@ def _varied(blocks: list[Block], labels: list[int], others: list[str], random: n
                 leaf = _LEAVES[random.integers(len(_LEAVES))] if random.random() < 0.5 else _LEAVES[0]
             path = main if random.random() < 0.05 else main + leaf
         else:
-            path = (main if random.random() < 0.2 else base) + _OTHER_PATHS[random.integers(len(_OTHER_PATHS))]
+            path = (main if random.random() < 0.2 else base) + _OTHER_PATHS[random.integers(len(_OTHER_PATHS))] + inner()
         text = block.text if random.random() < 0.8 else " ".join(block.text.split()[: random.integers(1, 6)])
         out.append(Block(path, text, min(block.linked, len(text))))
         marks.append(label)
@@ -366,8 +371,10 @@ def _varied(blocks: list[Block], labels: list[int], others: list[str], random: n
     return out, marks
 
 
-def fit_pages(pages: list[list[Block]], labels: list[list[int]], copies: int = 3, seed: int = 1) -> Labeller:
-    """A labeller from parsed pages with a label for each block (below 0: unknown), and varied copies."""
+def fit_pages(pages: list[list[Block]], labels: list[list[int]], copies: int | None = None, seed: int = 1) -> Labeller:
+    """A labeller from parsed pages with a label for each block (below 0: unknown), and varied copies: at
+    least 3 of each page, more of few pages."""
+    copies = max(3, -(-SEQUENCES // max(1, len(pages)))) if copies is None else copies
     random = np.random.default_rng(seed)
     others = [b.text for blocks in pages for b in blocks[:6]] or [""]
     x, y = [], []

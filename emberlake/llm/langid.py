@@ -35,6 +35,8 @@ BINS_BITS = 16
 MIN_SHARE = 0.001
 #: Rows of a parent that a group's own rows are weighed against.
 SMOOTHING = 20.0
+#: What each trigram counts besides its occurrences: so little that text of unseen trigrams is unknown.
+UNSEEN = 0.05
 UNKNOWN_PRIOR = 1e-3
 MIN_POSTERIOR = 0.5
 #: Each byte is part of three trigrams, which are therefore not three independent findings.
@@ -91,7 +93,7 @@ def train(docs: DataFrame, text_col: str, declared_col: str, languages: list[str
             )
 
     def vector(rows: pd.DataFrame) -> pd.DataFrame:
-        counts = np.full(size, 0.5)
+        counts = np.full(size, UNSEEN)
         counts[rows["bin"]] += rows["n"]
         logs = np.log(counts / counts.sum()).astype(np.float32)
         return pd.DataFrame({"language": [int(rows["language"].iloc[0])], "logs": [logs.tobytes()]})
