@@ -38,6 +38,9 @@ FREQUENT_BITS = 20
 _END, _SYMBOLS = 0x0A, 257
 _FREE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _GRAM, _WORD = 1, 2
+#: Bytes of text coded together, and array entries held before they are merged, to bound a task's memory.
+CODED_BYTES = 1 << 18
+HELD_ENTRIES = 1_000_000
 
 
 class Coded:
@@ -93,14 +96,14 @@ def count_corpus(docs: DataFrame, text_col: str = "text", order: int = ORDER) ->
         fresh = rows = 0
         for batch in batches:
             rows += batch.num_rows
-            for _, part in text_slices(batch.column(0)):
+            for _, part in text_slices(batch.column(0), CODED_BYTES):
                 coded = Coded(part, order, table)
                 for kind, values in ((_GRAM, coded.codes), (_WORD, coded.words)):
                     key, n = np.unique(values, return_counts=True)
                     held[kind][0].append(key)
                     held[kind][1].append(n)
                     fresh += len(key)
-                if fresh > 4_000_000:
+                if fresh > HELD_ENTRIES:
                     held = {k: tuple([x] for x in _merged(*v)) for k, v in held.items()}
                     fresh = 0
         if rows:
@@ -139,6 +142,8 @@ class Trie:
                 excluded = np.add.reduceat(lower_n[np.searchsorted(lower, code & self.mask(order - i - 1))], first)
             self.levels.append((code, count, code[first] >> np.uint64(8), total, distinct, excluded))
         self._index()
+        # The table tells which of the longest contexts' bytes were seen; the lists are not needed any more.
+        self.levels[0] = (code[:0], count[:0], *self.levels[0][2:])
 
     @staticmethod
     def mask(k: int) -> np.uint64:
@@ -186,16 +191,19 @@ class Trie:
         for k, (code, count, context, total, distinct, excluded) in zip(range(self.order, -1, -1), self.levels, strict=True):
             if not len(left):
                 return
-            if not len(code):
+            if not len(context):
                 continue
             own = codes[left] & self.mask(k)
             at = np.minimum(np.searchsorted(context, own >> np.uint64(8)), len(context) - 1)
             there = context[at] == own >> np.uint64(8)
-            where = np.minimum(np.searchsorted(code, own), len(code) - 1)
-            seen = code[where] == own
+            seen = np.zeros(len(left), bool)
+            if len(code):
+                where = np.minimum(np.searchsorted(code, own), len(code) - 1)
+                seen = code[where] == own
             n, d = total[at] - less_n, distinct[at] - less_d
             whole = np.maximum(n + d, 1.0)
-            out[left[seen]] += np.log10(count[where[seen]] / whole[seen])
+            if seen.any():
+                out[left[seen]] += np.log10(count[where[seen]] / whole[seen])
             escaped = there & ~seen & (d > 0)  # if all are excluded the escape is certain
             out[left[escaped]] += np.log10(d[escaped] / whole[escaped])
             less_n, less_d = np.where(there, excluded[at], 0.0)[~seen], np.where(there, distinct[at], 0.0)[~seen]
@@ -256,7 +264,7 @@ def score(
             table, trie = blank_table(), model.value
             known, known_n = frequent.value
             for batch in batches:
-                for at, part in text_slices(batch.column("text")):
+                for at, part in text_slices(batch.column("text"), CODED_BYTES):
                     coded = Coded(part, order, table)
                     logs = np.zeros(len(coded.codes))
                     mine = slice(None)
