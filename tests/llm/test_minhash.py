@@ -53,14 +53,37 @@ def test_against_brute_force(documents):
         assert all(r["kept"] == (label[i] == i) for i, r in got.items())
 
 
-def test_open_pairs_find_links_that_the_pivots_miss(documents, monkeypatch):
-    monkeypatch.setattr(minhash, "BRIDGES", 0)
+def test_small_blocks_lose_no_link(documents, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", 3)
     rows = corpus()
     label, _ = brute(rows, 2, 80)
     got = minhash.near_duplicates(documents(rows), shingle=2).collect()
     assert {r["doc_id"]: r["component_id"] for r in got} == label
 
 
+def test_joining_links():
+    random = np.random.default_rng(8)
+    base = random.integers(0, 1 << 62, 60).astype(np.uint64)
+    sets = []
+    for _ in range(40):
+        keep = base[random.random(60) < random.choice([0.8, 0.95])]
+        sets.append(np.unique(np.r_[keep, random.integers(0, 1 << 62, random.integers(0, 9)).astype(np.uint64)]))
+    found = minhash.joining_links(sets, list(range(40)), np.zeros(40, int), 80)
+    edges = [
+        (i, j) for i in range(40) for j in range(i)
+        if 100 * (both := len(np.intersect1d(sets[i], sets[j]))) >= 80 * (len(sets[i]) + len(sets[j]) - both)
+    ]
+
+    def groups(pairs):
+        label = list(range(40))
+        for _ in range(40):
+            for i, j in pairs:
+                label[i] = label[j] = min(label[i], label[j])
+        return label
+
+    assert groups(found) == groups(edges) and set(found) <= set(edges) and len(set(groups(edges))) > 1
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 101), (7, 7)]
     got = minhash.components(spark.createDataFrame(edges, "a long, b long")).collect()
