@@ -4,11 +4,13 @@ import math
 import random
 from collections import defaultdict
 from decimal import ROUND_HALF_UP, Decimal
+from fractions import Fraction
 
 import pytest
 from conftest import DAY, HEADER, VERSION
 from pyspark.sql import functions as F
 
+from emberlake.functions.measures import round_cents
 from emberlake.operators.gold import build_gold
 from emberlake.operators.silver import build_silver
 from emberlake.plans import jobs
@@ -140,3 +142,20 @@ def test_rerun_gives_the_same_rows(spark, events_gold):
     assert sorted(map(str, again.drop("DATVER").collect())) == sorted(
         map(str, events_gold["foco_bioma"].drop("DATVER").collect())
     )
+
+
+def test_rounding_against_direct_round_and_exact_fractions(spark):
+    """Averages of whole cents over up to 977 rows: a million against ROUND, some against exact fractions."""
+    cents, n = F.pmod(F.xxhash64("id"), F.lit(10_000_000)), F.col("id") % 977 + 1
+    frame = spark.range(1_000_000).select("id", cents.alias("cents"), n.alias("n"), (cents / 100 / n).alias("x"))
+    frame = frame.select("*", round_cents(F.col("x")).alias("stable"), F.round("x", 2).alias("direct"))
+    below_tie = F.abs(F.col("x") * 100 - F.floor(F.col("x") * 100) - 0.5) < 1e-9
+    assert frame.where((F.col("stable") != F.col("direct")) & ~below_tie).count() == 0
+    for row in frame.where("id < 20000").collect():
+        exact = Fraction(row.cents, 100 * row.n)
+        assert row.stable == float(Fraction(math.floor(exact * 100 + Fraction(1, 2)), 100))
+
+
+@pytest.mark.parametrize("value, rounded", [(1.004999996, 1.0), (0.0149999951, 0.01), (1.005, 1.01), (2.675, 2.68)])
+def test_rounding_near_a_tie(spark, value, rounded):
+    assert spark.range(1).select(round_cents(F.lit(value))).first()[0] == rounded
