@@ -7,9 +7,12 @@ in a bin with the Jaccard similarity as probability. Documents that agree in all
 candidates, and a link is made only after the full shingle sets have been compared.
 
 Scale: exact copies (equal sets) become one class before banding. In a bucket every member is first
-compared with the bucket's least document only; members that this connects need no further pairs.
-Pairs that may still join two components are compared one by one (``_open_pairs``), so no link between
-components is lost. Nothing is collected but convergence counts.
+compared with the bucket's least document only, which connects most groups. A bucket that still holds several
+components is cut into blocks of bounded size, and each pair of blocks is one small group, in which all
+intersections are counted at once by a matrix product; only links that join components come out, so no link
+between components is lost and no pairs are emitted. Nothing is collected but counts. Texts are read again
+for candidates only, whose ids are broadcast if they are counted to be at most ``BROADCAST_IDS``, and joined
+by a shuffle beyond that.
 
 Defined results: null or blank text has an empty set and is linked with nothing; repeated rows and
 rows that share a document id are one document; an empty table gives an empty result; other columns
@@ -22,6 +25,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +43,10 @@ from emberlake.llm.common import (
 BANDS, ROWS = 32, 4
 #: A sketch agreement so far below the threshold (six standard deviations) rules a pair out.
 DEVIATIONS = 6.0
+#: A block of a bucket: documents, and bytes of shingle sets, at most (one document may be larger).
+BLOCK_ROWS, BLOCK_BYTES = 512, 1 << 24
+#: Ids of up to 40 bytes each in an executor's memory.
+BROADCAST_IDS = 1_000_000
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _LOW = np.uint64((1 << 48) - 1)
 
@@ -126,26 +134,33 @@ def _alike(pairs: DataFrame, low: DataFrame, least: float) -> DataFrame:
     return joined.mapInArrow(run, joined.select("a", "b").schema)
 
 
+def _texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """(id, text) of the ids."""
+    ids = materialize(ids.distinct())
+    return texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id")
+
+
+def _shingle_sets(column: pa.Array, shingle: int) -> Iterator[np.ndarray]:
+    table = blank_table()
+    for _, part in text_slices(column):
+        hashes, starts = hash_words(part, table)
+        for a, b in zip(starts[:-1], starts[1:], strict=True):
+            yield np.unique(shingle_hashes(hashes[a:b], shingle))
+
+
 def _confirm(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs whose full shingle sets have 100 * intersection >= percent * union."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    wanted = materialize(texts.join(ids, "id"))
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
+    wanted = materialize(_texts_of(ids, texts))
     joined = pairs.join(wanted.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b").join(
         wanted.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = blank_table()
-
-        def sets(column: pa.Array) -> Iterator[np.ndarray]:
-            for _, part in text_slices(column):
-                hashes, starts = hash_words(part, table)
-                for a, b in zip(starts[:-1], starts[1:], strict=True):
-                    yield np.unique(shingle_hashes(hashes[a:b], shingle))
-
         for batch in batches:
             keep = []
-            for x, y in zip(sets(batch.column("text_a")), sets(batch.column("text_b")), strict=True):
+            left, right = (_shingle_sets(batch.column(c), shingle) for c in ("text_a", "text_b"))
+            for x, y in zip(left, right, strict=True):
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -153,6 +168,72 @@ def _confirm(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     return joined.mapInArrow(run, joined.select("a", "b").schema)
 
 
+def joining_links(sets: list[np.ndarray], labels: list, blocks: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Index pairs of similar sets that join different labels, as few as connect them. If the sets are of two
+    blocks, only pairs of one from each are looked at."""
+    n = len(sets)
+    size = np.array([len(s) for s in sets], np.float64)
+    row = np.repeat(np.arange(n), size.astype(np.int64))
+    _, column, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(often[column] > 1)  # others are in no intersection
+    order = shared[np.argsort(column[shared], kind="stable")]
+    row, column = row[order], column[order]
+    column = np.cumsum(np.r_[0, column[1:] != column[:-1]]) if len(column) else column
+    both = np.zeros((n, n), np.float32)
+    cuts = np.searchsorted(column, np.arange(0, (column[-1] if len(column) else -1) + 4097, 4096))
+    for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        dense = np.zeros((n, 4096), np.float32)
+        dense[row[a:b], column[a:b] - 4096 * k] = 1
+        both += dense @ dense.T
+    alike = 100 * both.astype(np.float64) >= percent * (size[:, None] + size[None, :] - both)
+    if len(set(blocks.tolist())) > 1:
+        alike &= blocks[:, None] != blocks[None, :]
+    parent = {label: label for label in labels}
+
+    def root(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    links = []
+    for i in range(n):
+        for j in np.flatnonzero(alike[i, :i]).tolist():
+            x, y = root(labels[i]), root(labels[j])
+            if x != y:
+                parent[x] = y
+                links.append((i, j))
+    return links
+
+
+def _block_links(mixed: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(a, b): links that join components within the mixed buckets, found block by block."""
+    kind = mixed.schema["rep"].dataType.simpleString()
+
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [s.tobytes() for s in _shingle_sets(batch.column(1), shingle)]
+            yield pa.record_batch([batch.column(0), pa.array(sets, pa.binary())], names=["rep", "set"])
+
+    ids = mixed.select(F.col("rep").alias("id"))
+    sets = materialize(_texts_of(ids, texts).select("id", "text").mapInArrow(signed, f"rep {kind}, set binary"))
+    members = mixed.select("key", "rep", "label").join(sets.withColumn("bytes", F.length("set")), "rep")
+    sizes = members.groupBy("key").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("blocks")
+    )
+    blocked = members.drop("bytes").join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("rep", "key"), F.col("blocks")).cast("int"))
+    units = blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    units = units.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "rep", "label", "set")
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("rep", kind="stable")
+        reps, labels = rows["rep"].tolist(), rows["label"].tolist()
+        found = joining_links([np.frombuffer(s, np.uint64) for s in rows["set"]], labels, rows["block"].to_numpy(), percent)
+        return pd.DataFrame({"a": [reps[i] for i, _ in found], "b": [reps[j] for _, j in found]}, columns=["a", "b"])
+
+    return units.groupBy("key", "low", "high").applyInPandas(run, f"a {kind}, b {kind}")
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an edge table: (id, component), the least id of each, for every id that
     has an edge. Large-star and small-star steps alternate until the edges stay the same; a hub's edges
@@ -181,19 +262,13 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         edges = materialize(small.select("e.u", "e.v").filter("u <> v").distinct())
 
 
-def _open_pairs(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs that share a bucket and lie in different components, each with one side outside the
-    bucket's largest component; pairs with the bucket's pivot have been compared already."""
+def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, rep, label): members of the buckets that hold several components, with their own."""
     labelled = members.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "key", "rep", "pivot", F.coalesce("component", "rep").alias("label")
+        "key", "rep", F.coalesce("component", "rep").alias("label")
     )
-    sizes = labelled.groupBy("key", "label").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("key").agg(F.count("*").alias("labels"), F.max_by("label", F.struct("n", "label")).alias("main"))
-    mixed = mixed.filter("labels > 1").select("key", "main")
-    within = materialize(labelled.join(mixed, "key").filter("rep <> pivot"))
-    others = within.filter("label <> main").select("key", F.col("rep").alias("x"), F.col("label").alias("lx"))
-    pairs = others.join(within.select("key", F.col("rep").alias("y"), F.col("label").alias("ly")), "key")
-    return pairs.filter("lx <> ly").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least <> most")
+    return materialize(labelled.join(mixed.select("key"), "key"))
 
 
 def near_duplicates(
@@ -223,14 +298,13 @@ def near_duplicates(
     same = percent / 100
     least = same - DEVIATIONS * (same * (1 - same) / (bands * rows)) ** 0.5
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        near = materialize(_alike(pairs, low, least))
-        return materialize(_confirm(near, texts, shingle, percent))
-
-    stars = linked(members.filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct())
-    labels = components(stars)
-    rest = linked(_open_pairs(members, labels))
-    labels = components(rest.unionByName(labels.select(F.col("id").alias("a"), F.col("component").alias("b"))))
+    pairs = members.filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
+    links = materialize(_confirm(materialize(_alike(pairs, low, least)), texts, shingle, percent))
+    labels = components(links)
+    mixed = _mixed(members, labels)
+    if not mixed.isEmpty():
+        more = materialize(_block_links(mixed, texts, shingle, percent))
+        labels = components(more.unionByName(labels.select(F.col("id").alias("a"), F.col("component").alias("b"))))
 
     named = reps.select("set_id", F.col("rep").alias("id")).join(labels, "id", "left")
     named = named.groupBy("set_id").agg(F.min(F.coalesce("component", "id")).alias("component"))
