@@ -44,7 +44,7 @@ BANDS, ROWS = 32, 4
 #: A sketch agreement so far below the threshold (six standard deviations) rules a pair out.
 DEVIATIONS = 6.0
 #: A block of a bucket: documents, and bytes of shingle sets, at most (one document may be larger).
-BLOCK_ROWS, BLOCK_BYTES = 512, 1 << 24
+BLOCK_ROWS, BLOCK_BYTES = 1024, 1 << 24
 #: Ids of up to 40 bytes each in an executor's memory.
 BROADCAST_IDS = 1_000_000
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
