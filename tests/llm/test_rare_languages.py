@@ -1,0 +1,36 @@
+"""Languages that few rows declare, and languages in blocks."""
+
+from pyspark.sql import functions as F
+
+from emberlake.llm import langid
+
+from .conftest import PROSE
+
+RARE = "habari ya asubuhi rafiki yangu mzuri tunakwenda sokoni kununua matunda na mboga za majani kwa chakula cha jioni "
+FEW = "η παλιά πόλη έχει πολλούς δρόμους και ένα μικρό λιμάνι "
+
+
+def test_rare_language_among_many_rows(spark, documents):
+    """Six rows of 9,000, and one row whose language has too little text for a model."""
+    many = spark.range(9000).select(
+        (F.col("id") + 1000).alias("doc_id"), F.lit(PROSE["en"]).alias("text"), F.lit("en").alias("lang"), F.lit("src0").alias("source"), F.lit(0).cast("long").alias("n_chars")
+    )
+    few = [(i, RARE * 2, "sw", "src0") for i in range(6)] + [(6, RARE * 2, None, "src0"), (7, FEW, "el", "src0"), (8, "", "el", "src0"), (9, "日本語 " * 30, None, "src0"), (10, "12", "sw", "src0")]
+    got = {r["doc_id"]: r for r in langid.identify(many.unionByName(documents(few))).filter("doc_id < 1001").collect()}
+    assert all(got[i]["language"] == "sw" and got[i]["accepted"] for i in range(7))
+    assert got[7]["language"] == "el" and got[7]["accepted"] and 0 < got[7]["posterior"] <= 1
+    assert not got[8]["accepted"] and not got[9]["accepted"] and not got[10]["accepted"]
+    assert got[1000]["language"] == "en" and got[1000]["accepted"]
+
+
+def test_no_language_with_a_model(documents):
+    got = {r["doc_id"]: r for r in langid.identify(documents([(1, FEW, "el"), (2, FEW, None), (3, FEW, ""), (4, None, "el")])).collect()}
+    assert (got[1]["language"], got[1]["posterior"], got[1]["accepted"]) == ("el", 1.0, True)
+    assert all((got[i]["language"], got[i]["posterior"], got[i]["accepted"]) == ("und", 0.0, False) for i in (2, 3, 4))
+
+
+def test_blocks_of_languages_change_nothing(documents):
+    rows = [(i, text * 12, lang, f"www.{lang}.org") for i, (lang, text) in enumerate([*PROSE.items(), ("sw", RARE)])]
+    rows += [(10, PROSE["de"], None, "www.fr.org"), (11, "de la", "fr", None), (12, None, "en", "x"), (None, RARE, None, None), (None, RARE, None, None)]
+    whole, parts = (sorted(map(str, langid.identify(documents(rows), block=n).select("doc_id", "language", F.round("posterior", 9), "accepted").collect())) for n in (256, 1))
+    assert whole == parts and len(whole) == len(rows)
