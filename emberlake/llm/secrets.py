@@ -5,9 +5,12 @@ least 16 letters, digits and ``+/_=-`` with a digit. A forest judges each from i
 and their transitions (entropy, changes of class, probability of its letter pairs under the corpus
 dictionary), the share of it that dictionary words cover, the path of the document and the words before and
 after. It is trained on labelled findings: either given, or the candidates that ``published_labels`` is sure of.
+Each place of a value in a document is judged by the words around it, and the greatest probability holds for
+all; places that ``published_labels`` calls sure positives have probability 1, whatever the forest says.
 
 Scale: all texts are read twice, once for candidates and once for the dictionary, whose words are counted in
-each task before they are shuffled. Few rows are candidates; what is computed for a value is computed once.
+each task before they are shuffled. Few rows are candidates; what is computed for a value is computed once, and
+places of a document with the same text around them are judged once.
 Training takes at most ``MAX_TRAIN`` findings, those with the least hash.
 
 Defined results: null and empty texts have no findings; repeated rows have equal findings; a null id stays
@@ -61,8 +64,8 @@ def _starts(text: Column, value: Column) -> Column:
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
-    """(id, path, value, named, starts, before, after): a document's distinct candidate values, with the
-    text around the first place of each."""
+    """(id, path, value, starts, contexts): a document's distinct candidate values, with the distinct
+    (before, after) of the text around their places."""
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
     rows = docs.select(F.col(id_col).alias("id"), path.alias("path"), F.col(text_col).alias("text"))
     rows = rows.withColumn("found", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))).filter(F.size("found") > 0)
@@ -71,15 +74,15 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     each = rows.select("id", "path", "text", F.explode(values).alias("value")).filter(F.length("value") >= 8)
     each = each.withColumn("starts", _starts(F.col("text"), F.col("value")))
-    first = F.col("starts")[0]
-    return each.filter(F.size("starts") > 0).select(
-        "id",
-        "path",
-        "value",
-        "starts",
-        F.expr("substring(text, greatest(starts[0] - 59, 1), least(starts[0], 60))").alias("before"),
-        F.substring("text", first + F.length("value") + 1, F.lit(40)).alias("after"),
-    )
+
+    def around(start: Column) -> Column:
+        return F.struct(
+            F.substring(F.col("text"), F.greatest(start - 59, F.lit(1)), F.least(start, F.lit(60))).alias("before"),
+            F.substring(F.col("text"), start + F.length("value") + 1, F.lit(40)).alias("after"),
+        )
+
+    contexts = F.array_distinct(F.transform("starts", around))
+    return each.filter(F.size("starts") > 0).select("id", "path", "value", "starts", contexts.alias("contexts"))
 
 
 def dictionary(docs: DataFrame, text_col: str = "text", min_count: int = MIN_WORD_COUNT) -> DataFrame:
@@ -172,8 +175,10 @@ def scan(
 ) -> DataFrame:
     """(id, path, value, starts, probability, secret): each candidate value of each document, judged.
     ``findings``, labelled findings to train on, has id, value and label (1 real, 0 false)."""
-    found = materialize(candidates(docs, id_col, text_col, path_col))
-    featured = materialize(with_features(found, dictionary(docs, text_col)))
+    found = candidates(docs, id_col, text_col, path_col)
+    found = materialize(found.select(F.monotonically_increasing_id().alias("finding"), "*"))
+    places = found.select("finding", "id", "path", "value", F.inline("contexts"))
+    featured = materialize(with_features(places, dictionary(docs, text_col)).drop("before", "after"))
     sure = published_labels(featured)
     if findings is None:
         labelled = featured.withColumn("label", sure)
@@ -182,11 +187,12 @@ def scan(
         labelled = featured.join(given, ["id", "value"])
     model = train_forest(labelled)
     if model is None:
-        judged = featured.withColumn("probability", F.when(sure == 1, 1.0).otherwise(0.0))
+        judged = featured.withColumn("chance", F.lit(0.0))
     else:
-        judged = model.transform(featured).withColumn("chance", vector_to_array("probability")).drop("probability")
-        judged = judged.withColumn("probability", F.col("chance")[1])
-    return judged.select(
+        judged = model.transform(featured).withColumn("chance", vector_to_array("probability")[1])
+    chance = F.when(sure == 1, 1.0).otherwise(F.col("chance"))
+    most = judged.groupBy("finding").agg(F.max(chance).alias("probability"))
+    return found.join(most, "finding").select(
         F.col("id").alias(id_col), "path", "value", "starts", "probability", (F.col("probability") >= threshold).alias("secret")
     )
 
