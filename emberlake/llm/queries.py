@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlake.llm import htmltext, langid, minhash, packing, ppm, quality, secrets, spotsigs, tiling, urlrules
+from emberlake.llm import (
+    alignment,
+    bytebpe,
+    htmltext,
+    langid,
+    minhash,
+    packing,
+    ppm,
+    quality,
+    secrets,
+    spotsigs,
+    tiling,
+    urlrules,
+    whitening,
+)
 from emberlake.llm.common import crc_mod, materialize, read_table
 
 
@@ -71,6 +85,34 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alignment of every text, with links rated by the whole table's counts; group texts by their digest."""
+    counts = ["n_a", "n_b", "n_groups", "n_links", "n_shared"]
+    aligned = alignment.align(read_table(spark, sf_dir, "documents")).select(
+        F.monotonically_increasing_id().alias("row"),
+        "doc_id",
+        *counts,
+        F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256"),
+        "pairs",
+    )
+    aligned = materialize(aligned)  # which fixes the row numbers
+    rated = alignment.rate(aligned, "row")
+    return aligned.join(rated, "row", "left").select(
+        F.col("doc_id").cast("long"),
+        *counts,
+        *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_best", "count_sum")),
+        "groups_sha256",
+    )
+
+
+def op13_bytebpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytebpe.digests(bytebpe.encode(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_secrets": op2_secrets,
@@ -82,6 +124,9 @@ QUERIES = {
     "op8_url_rules": op8_url_rules,
     "op9_ppm": op9_ppm,
     "op10_minhash": op10_minhash,
+    "op11_whitening": op11_whitening,
+    "op12_alignment": op12_alignment,
+    "op13_bytebpe": op13_bytebpe,
 }
 
 #: DuckDB SQL of the queries that SQL can express.

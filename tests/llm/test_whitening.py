@@ -1,0 +1,132 @@
+"""Whitening against numpy's eigenvectors, exact deviations, spectra with ties, and hard rows."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from emberlake.llm import whitening
+
+
+def spectra():
+    rng = np.random.default_rng(0)
+    for n in (1, 2, 3, 7, 20, 33):
+        q, _ = np.linalg.qr(rng.standard_normal((n, n)))
+        half = rng.standard_normal((n, n + 2))
+        few = rng.standard_normal((n, 2))
+        yield half @ half.T
+        yield q @ np.diag(np.r_[np.full(min(3, n), 5.0), rng.random(n)][:n]) @ q.T  # an eigenvalue thrice
+        yield np.eye(n) * 3
+        yield few @ few.T  # of rank two
+        yield np.diag(rng.integers(0, 3, n).astype(float))
+        yield q @ np.diag(1 + 1e-9 * np.arange(n)) @ q.T  # nearly equal
+
+
+@pytest.mark.parametrize("shift", [0.0, 0.7, 3.0, 5.0])
+def test_factors_and_inertia(shift):
+    for matrix in spectra():
+        moved = matrix - shift * np.eye(len(matrix))
+        f = whitening.factor(moved)
+        d = np.diag(f.diagonal) + np.diag(f.beside[:-1], -1) + np.diag(f.beside[:-1], 1)
+        assert np.allclose(f.lower @ d @ f.lower.T, moved[np.ix_(f.order, f.order)], atol=1e-9)
+        values = np.linalg.eigvalsh(moved)
+        if np.abs(values).min() > 1e-8:
+            assert f.positive() == (values > 0).sum()
+            right = np.arange(1.0, len(matrix) + 1)
+            assert np.allclose(moved @ f.solve(right, 1e-300), right, atol=1e-5)
+
+
+def test_leading_eigenpairs():
+    for matrix in spectra():
+        values = np.linalg.eigvalsh(matrix)[::-1]
+        pairs = whitening.leading_eigenpairs(matrix, 4)
+        expected = [v for v in values[:4] if v > 1e-12 * values.sum()]
+        assert np.allclose([p.value for p in pairs], expected, rtol=1e-10, atol=1e-10)
+        assert all(p.certified for p in pairs)
+        vectors = np.array([p.vector for p in pairs])
+        assert np.allclose(vectors @ vectors.T, np.eye(len(pairs)), atol=1e-9)
+        for p in pairs:
+            assert np.linalg.norm(matrix @ p.vector - p.value * p.vector) < 1e-11 * max(1, values[0])
+
+
+def test_rayleigh_steps_are_few():
+    rng = np.random.default_rng(4)
+    half = rng.standard_normal((60, 80))
+    slicer = whitening.Slicer(half @ half.T)
+    made = []
+    slicer.shifted, plain = (lambda point: made.append(point) or plain(point)), slicer.shifted
+    low, high = slicer.isolate(1)
+    assert slicer.above(low) == 1 and slicer.above(high) == 0
+    made.clear()
+    value, _, residual = whitening._rayleigh(slicer, (low + high) / 2, rng.standard_normal(60), np.empty((0, 60)))
+    assert low < value < high and residual < 64 * slicer.noise and len(made) <= 10
+
+
+def brute(vectors, components=4):
+    """By the contract: integers as Python's, the rest by numpy."""
+    x = [[int(np.floor(256 * np.float64(c))) for c in v] for v in vectors]
+    fit = sorted(set(map(tuple, x)))
+    n, d = len(fit), len(fit[0])
+    sums = [sum(v[i] for v in fit) for i in range(d)]
+    centred = np.array([[(n * v[i] - sums[i]) / n for i in range(d)] for v in fit])
+    values, vecs = np.linalg.eigh(centred.T @ centred / n)
+    values, vecs = values[::-1][:components], vecs[:, ::-1][:, :components]
+    deviation = [sum((n * v[i] - sums[i]) ** 2 for i in range(d)) for v in x]
+    white = np.array([[(n * v[i] - sums[i]) / n for i in range(d)] for v in x]) @ vecs / np.sqrt(values)
+    return n, deviation, white, values / np.trace(centred.T @ centred / n)
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    rng = np.random.default_rng(7)
+    vectors = (rng.standard_normal((300, 12)) @ np.diag(np.linspace(3, 0.2, 12)) + 1).astype(np.float32)
+    vectors[50:80] = vectors[0]  # copies
+    rows = [(i, [float(c) for c in v], i % 3) for i, v in enumerate(vectors)]
+    return vectors, spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+
+
+def test_against_brute_force(table):
+    vectors, df = table
+    n, deviation, white, explained = brute(vectors)
+    rows = whitening.whiten(df.repartition(5).withColumns({c: F.lit("x") for c in ("x", "component", "deviation", "N")})).collect()
+    assert len(rows) == 4 * len(vectors) and {r["n"] for r in rows} == {n} and n == 270
+    got = np.zeros_like(white)
+    for r in rows:
+        assert r["deviation"] == deviation[r["vec_id"]]
+        assert abs(r["explained"] - explained[r["component"] - 1]) < 1e-9
+        got[r["vec_id"], r["component"] - 1] = r["whitened"]
+    for k in range(4):
+        sign = np.sign(got[:, k] @ white[:, k])
+        assert np.allclose(got[:, k] * sign, white[:, k], atol=1e-8)
+    errors = {r["identity_error"] for r in rows}
+    assert len(errors) == 1 and errors.pop() < 1e-9
+
+
+def test_hard_vectors(spark):
+    good = [(i, [float(i % 5), float(i * i % 7), float(i % 3)]) for i in range(20)]
+    hard = [
+        (None, [1.0, 2.0, 3.0]), (100, None), (101, [1.0, None, 2.0]), (102, [float("nan"), 1.0, 1.0]),
+        (103, [float("inf"), 0.0, 0.0]), (104, []), (105, [1.0, 2.0]), (3, good[3][1]), (106, [-0.0, 0.0, 0.0]),
+    ]
+    df = spark.createDataFrame(good + hard, "vec_id long, embedding array<double>")
+    rows = whitening.whiten(df).collect()
+    assert sorted(str(r["vec_id"]) for r in rows if r["component"] == 1) == sorted([*(str(i) for i in range(20)), "None", "3", "106"])
+    assert {r["component"] for r in rows} == {1, 2, 3}
+    three = [tuple(r[1:]) for r in rows if r["vec_id"] == 3 and r["component"] == 1]
+    assert len(three) == 2 and three[0] == three[1]
+
+
+def test_degenerate_tables(spark):
+    schema = "vec_id long, embedding array<double>"
+    assert whitening.whiten(spark.createDataFrame([], schema)).collect() == []
+    assert whitening.whiten(spark.createDataFrame([(1, None)], schema)).collect() == []
+    assert whitening.whiten(spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.0])], schema)).collect() == []
+    line = whitening.whiten(spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 1.0])], schema)).collect()
+    assert sorted((r["vec_id"], r["component"], round(abs(r["whitened"]), 9)) for r in line) == [(1, 1, 1.0), (2, 1, 1.0)]
+    assert {r["deviation"] for r in line} == {2 * 256 * 256}
+
+
+def test_entries_beyond_a_long(spark):
+    df = spark.createDataFrame([(1, [1e30, 0.0]), (2, [-1e30, 1.0]), (3, [0.0, 2.0])], "vec_id long, embedding array<double>")
+    rows = whitening.whiten(df).collect()
+    assert {r["deviation"] for r in rows if r["vec_id"] < 3} == {None} and {r["n"] for r in rows} == {3}
+    assert all(np.isfinite(r["whitened"]) for r in rows)
