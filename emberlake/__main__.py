@@ -35,6 +35,9 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
         default="snapshot",
         help="bronze holds the whole file under every date, or each row once under its own",
     )
+    parser.add_argument(
+        "--source-zone", help="zone that another writer of silver took the times for, where it stored instants"
+    )
     for layer in ("bronze", "silver", "gold"):
         parser.add_argument(f"--{layer}-path", help=f"the {layer} tables' path below the root, as in an existing lake")
     args = parser.parse_args(argv)
@@ -62,9 +65,9 @@ def main(argv: list[str] | None = None) -> None:
     if args.step in ("silver", "all"):
         jobs.silver_job(spark, lake, dates, compact=not args.no_compact and args.layout != "by_date")
     if args.step in ("gold", "all"):
-        jobs.gold_job(spark, lake, dates)
+        jobs.gold_job(spark, lake, dates, source_zone=args.source_zone)
     elif args.step in GOLD_TABLES:
-        jobs.gold_job(spark, lake, dates, tables=[args.step])
+        jobs.gold_job(spark, lake, dates, tables=[args.step], source_zone=args.source_zone)
 
 
 if __name__ == "__main__":

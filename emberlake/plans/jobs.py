@@ -10,7 +10,6 @@ from contextlib import nullcontext
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from emberlake.operators.gold import (
     finish_measures,
@@ -21,7 +20,7 @@ from emberlake.operators.gold import (
 from emberlake.operators.silver import build_silver
 from emberlake.schema import GOLD_TABLES, REFERENCE_SATELLITE, SILVER_SCHEMA, gold_schema
 from emberlake.sources import bronze
-from emberlake.sources.lake import Lake, read_dates, write_dates
+from emberlake.sources.lake import Lake, read_dates, read_times_as_written, write_dates
 from emberlake.sources.shared import stored_once
 
 
@@ -66,16 +65,10 @@ def read_silver(
     dates: Sequence[dt.date] | None = None,
     source_zone: str | None = None,
 ) -> DataFrame:
-    """``source_zone`` is for files of a writer that stored ``data_hora_gmt`` as an instant, taking the text
-    for local time of that zone: it is turned back into the time as written."""
-    if source_zone is None:
-        return read_dates(spark, lake.silver, SILVER_SCHEMA, dates)
-    zoned = T.StructType(
-        [T.StructField(f.name, T.TimestampType()) if f.name == "data_hora_gmt" else f for f in SILVER_SCHEMA]
-    )
-    session_clock = F.col("data_hora_gmt").cast("timestamp_ntz")
-    written = F.convert_timezone(F.current_timezone(), F.lit(source_zone), session_clock)
-    return read_dates(spark, lake.silver, zoned, dates).withColumn("data_hora_gmt", written)
+    """Silver rows of ``dates``. ``source_zone`` is for dates of a writer that stored ``data_hora_gmt`` as an
+    instant, taking the text for local time of that zone: it is turned back into the time as written. Such dates
+    raise without it, and may stand beside others."""
+    return read_times_as_written(spark, lake.silver, SILVER_SCHEMA, dates, "data_hora_gmt", source_zone)
 
 
 def read_gold(
@@ -91,14 +84,15 @@ def gold_job(
     tables: Sequence[str] = tuple(GOLD_TABLES),
     version_ts: dt.datetime | None = None,
     satellite: str = REFERENCE_SATELLITE,
+    source_zone: str | None = None,
 ) -> None:
     """Aggregates silver into the gold ``tables``.
 
     Silver is scanned and shuffled once, into measures by all keys of all tables. That result is
     bounded by dates x places, however many hotspots there are; each table is a roll-up of it. The
-    roll-ups are small jobs and are written side by side.
+    roll-ups are small jobs and are written side by side. ``source_zone`` is that of ``read_silver``.
     """
-    rows = reference_rows(read_silver(spark, lake, dates), satellite)
+    rows = reference_rows(read_silver(spark, lake, dates, source_zone), satellite)
     keys = sorted({key for table in tables for key in GOLD_TABLES[table]})
     measures = partial_measures(rows, keys)
     with stored_once(measures) if len(tables) > 1 else nullcontext(measures) as stored:

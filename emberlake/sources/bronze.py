@@ -7,14 +7,16 @@ or be there in addition. Landed rows keep every column of their source.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
-from functools import reduce
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberlake.functions.parsing import wall_clock
 from emberlake.schema import BRONZE_COLUMNS, DATE_COLUMNS
+from emberlake.sources.files import data_files, first_line, hadoop_path, side_by_side
 from emberlake.sources.lake import date_leaves, write_dates
 
 # Values keep their blanks; Spark's CSV writer would trim them otherwise.
@@ -26,39 +28,34 @@ _CSV_WRITE = {
 LAYOUTS = ("snapshot", "by_date")
 
 
-def _files_by_header(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
-    """The non-empty files under ``paths``, those with the same first line together.
-
-    One job reads the lines of the files without shuffling more than a line per file and task; the files'
-    names, which Spark's own listing brings to the driver too, are all that is collected.
-    """
-    lines = spark.read.text(list(paths))
-    first = lines.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
-        "value",
-    )
-    headers = first.groupBy("file").agg(F.min_by("value", "place").alias("header"))
-    groups = headers.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
-    return sorted(row["files"] for row in groups.collect())
+def _by_header(spark: SparkSession, files: Sequence[str]) -> list[list[str]]:
+    """``files`` without empty ones, those with the same first line together."""
+    groups: dict[str, list[str]] = {}
+    for file, header in zip(files, side_by_side(partial(first_line, spark), files)):
+        if header is not None:
+            groups.setdefault(header, []).append(file)
+    return sorted(groups.values())
 
 
-def _scan(spark: SparkSession, paths: Sequence[str], base: str | None = None) -> DataFrame | None:
-    """All columns of the CSV files under ``paths`` as text, each file by its own header; None without
-    files. Needed columns get their usual spelling."""
+def _scan(
+    spark: SparkSession, files: Sequence[str], base: str | None = None, file_as: str | None = None
+) -> DataFrame | None:
+    """All columns of the CSV ``files`` as text, each file by its own header; None without
+    files. Needed columns get their usual spelling; ``file_as`` adds the file of each row."""
     reader = spark.read.option("header", True).option("enforceSchema", False)
     reader = reader.option("basePath", base) if base else reader
     usual = {c.lower(): c for c in (*BRONZE_COLUMNS, *DATE_COLUMNS)}
     frames = []
-    for files in _files_by_header(spark, paths):
-        df = reader.csv(files)
-        frames.append(df.toDF(*(usual.get(c.lower(), c) for c in df.columns)))
+    for group in _by_header(spark, files):
+        df = reader.csv([hadoop_path(spark, f).toString() for f in group])
+        own = [F.col(f"`{c}`").alias(usual.get(c.lower(), c)) for c in df.columns]
+        frames.append(df.select(*own, *([F.col("_metadata.file_path").alias(file_as)] if file_as else [])))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None
 
 
 def read_raw(spark: SparkSession, path: str, all_columns: bool = False) -> DataFrame:
     """The needed columns of the CSV files under ``path`` as text, and the others behind them if asked for."""
-    return _needed(_scan(spark, [path]), path, all_columns=all_columns)
+    return _needed(_scan(spark, data_files(spark, [path])), path, all_columns=all_columns)
 
 
 def read_bronze(
@@ -68,7 +65,8 @@ def read_bronze(
     all_columns: bool = False,
 ) -> DataFrame:
     """Landed rows of ``dates`` with their partition columns, zero-padded as on disk."""
-    df = _needed(_scan(spark, date_leaves(table, dates), table), table, DATE_COLUMNS, all_columns)
+    files = data_files(spark, date_leaves(table, dates))
+    df = _needed(_scan(spark, files, table), table, DATE_COLUMNS, all_columns)
     width = dict(zip(DATE_COLUMNS, (4, 2, 2)))
     return df.withColumns({c: F.lpad(F.col(c).cast("string"), n, "0") for c, n in width.items()})
 
@@ -98,15 +96,17 @@ def route_to_dates(raw: DataFrame, dates: Sequence[dt.date], layout: str = "snap
     once, in its own date when that is asked for, else in the latest date of the file. Silver and gold are
     the same from both.
     """
+    return _routed(raw, F.array(*(F.lit(f"{d:%Y%m%d}") for d in sorted(dates))), layout)
+
+
+def _routed(raw: DataFrame, dates: Column, layout: str) -> DataFrame:
+    """As ``route_to_dates``, with each row's own array of dates as yyyyMMdd."""
     if layout not in LAYOUTS:
         raise ValueError(f"layout is one of {', '.join(LAYOUTS)}")
     if layout == "snapshot":
-        texts = F.array(*(F.lit(f"{d:%Y%m%d}") for d in dates))
-        return raw.withColumn("DATREF", F.explode(texts))
-    own = F.to_date(wall_clock("data_hora_gmt"))
-    latest = F.lit(f"{max(dates):%Y%m%d}")
-    landed = F.when(own.isin(*dates), F.date_format(own, "yyyyMMdd")).otherwise(latest)
-    return raw.withColumn("DATREF", landed)
+        return raw.withColumn("DATREF", F.explode(dates))
+    own = F.date_format(F.to_date(wall_clock("data_hora_gmt")), "yyyyMMdd")
+    return raw.withColumn("DATREF", F.when(F.array_contains(dates, own), own).otherwise(F.array_max(dates)))
 
 
 def land(
@@ -117,17 +117,25 @@ def land(
     layout: str = "snapshot",
     compact: bool = True,
 ) -> None:
-    """Lands the monthly files behind ``dates`` in the bronze table, with all columns and values unchanged,
-    all months in one job. What a date holds depends on ``layout`` alone, not on the other dates of the
-    call. ``compact=False`` saves the shuffle that brings a date's rows together in few files."""
-    months: dict[str, list[dt.date]] = {}
-    for date in dates:
-        months.setdefault(month_path(source, date), []).append(date)
-    routed = [
-        route_to_dates(read_raw(spark, path, all_columns=True), days, layout)
-        for path, days in months.items()
-    ]
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), routed)
+    """Lands the monthly files behind ``dates`` in the bronze table, with all columns and values unchanged.
+    All months are one scan for each header that their files have: the months' listings say which dates a
+    file is for, and each row is sent to the dates of its file. What a date holds depends on ``layout`` alone, not
+    on the other dates of the call. ``compact=False`` saves the shuffle that brings a date's rows together in
+    few files."""
+    months: dict[str, list[str]] = {}
+    for date in sorted(set(dates)):
+        months.setdefault(month_path(source, date), []).append(f"{date:%Y%m%d}")
+    listings = side_by_side(lambda path: data_files(spark, [path]), list(months))
+    own: dict[str, set[str]] = {}
+    for days, files in zip(months.values(), listings):
+        for file in files:
+            own.setdefault(file, set()).update(days)
+    file_as, days_as = (f"_{name}_{uuid.uuid4().hex}" for name in ("file", "days"))
+    raw = _scan(spark, sorted(own), file_as=file_as)
+    raw = _needed(raw, ", ".join(months), [file_as], all_columns=True)
+    # One entry for each file that was listed just now.
+    days = spark.createDataFrame([(f, sorted(d)) for f, d in own.items()], f"{file_as} string, {days_as} array<string>")
+    rows = _routed(raw.join(F.broadcast(days), file_as), F.col(days_as), layout).drop(file_as, days_as)
     write_dates(
         rows,
         table,
@@ -137,4 +145,3 @@ def land(
         options=_CSV_WRITE,
         compact=compact,
     )
-

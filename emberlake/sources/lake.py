@@ -4,22 +4,21 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emberlake.schema import DATE_COLUMNS
+from emberlake.sources.files import hadoop_path, parquet_time_kind, side_by_side
 
 _PARTITIONS_PER_DATE = 16
 # Beyond this a shuffle keeps only average block sizes, and large dates would go unnoticed.
 _MAX_PARTITIONS = 2000
 _SALTS = 8
-# How long the set of written dates may take to arrive after the write has ended.
-_OBSERVE_SECONDS = 600
 
 
 @dataclass(frozen=True)
@@ -62,10 +61,48 @@ def read_dates(
 ) -> DataFrame:
     """Parquet rows of ``dates`` with their partition columns as the zero-padded text on disk. The
     schema is given, so no file is opened to infer it."""
+    return _read_leaves(spark, table, schema, date_leaves(table, dates))
+
+
+def _read_leaves(spark: SparkSession, table: str, schema: T.StructType, leaves: Sequence[str]) -> DataFrame:
     full = T.StructType(schema.fields + [T.StructField(c, T.StringType()) for c in DATE_COLUMNS])
-    return (
-        spark.read.schema(full).option("basePath", table).parquet(*date_leaves(table, dates))
-    )
+    return spark.read.schema(full).option("basePath", table).parquet(*leaves)
+
+
+def read_times_as_written(
+    spark: SparkSession,
+    table: str,
+    schema: T.StructType,
+    dates: Sequence[dt.date] | None,
+    column: str,
+    source_zone: str | None,
+) -> DataFrame:
+    """As ``read_dates``, with ``column`` as the time that was written, though some dates may come from a
+    writer that stored it as an instant, taking the text for local time of a zone.
+
+    The footer of one file a date says which they are; a writer replaces a date as a whole. Instants are
+    turned back with ``source_zone``, and without it they raise: read as they are they would be shifted.
+    """
+    frame = read_dates(spark, table, schema, dates)
+    one_of: dict[str, str] = {}
+    for file in sorted(frame.inputFiles()):
+        one_of.setdefault(file.rsplit("/", 1)[0], file)
+    kinds = side_by_side(lambda file: parquet_time_kind(spark, file, column), list(one_of.values()))
+    leaves: dict[bool, list[str]] = {False: [], True: []}
+    for folder, kind in zip(one_of, kinds):
+        leaves[kind == "instant"].append(hadoop_path(spark, folder).toString())
+    if not leaves[True]:
+        return frame
+    if source_zone is None:
+        raise ValueError(
+            f"{column} is stored as an instant in {leaves[True][0]} and {len(leaves[True]) - 1} more dates: "
+            "say with source_zone which zone its writer took the text for"
+        )
+    instants = [T.StructField(f.name, T.TimestampType()) if f.name == column else f for f in schema.fields]
+    session_clock = F.col(column).cast("timestamp_ntz")
+    written = F.convert_timezone(F.current_timezone(), F.lit(source_zone), session_clock)
+    zoned = _read_leaves(spark, table, T.StructType(instants), leaves[True]).withColumn(column, written)
+    return zoned.unionByName(_read_leaves(spark, table, schema, leaves[False])) if leaves[False] else zoned
 
 
 def write_dates(
@@ -82,10 +119,11 @@ def write_dates(
     """Replaces ``dates`` of ``table`` with the rows of ``df``, placed by their ``DATREF`` (yyyyMMdd)
     and cut to ``columns``.
 
-    Other dates stay. The new files are staged and swapped in when the job commits, so a failed or
-    retried job leaves the old date. A date of ``dates`` without rows is replaced by an empty file; that
-    happens right after the commit, so a driver that is lost in between leaves such a date's old rows until
-    the call is repeated. However many dates are empty, they take one job and file system calls.
+    Other dates stay. All files are staged beside the table's dates first: those of the rows, by one job, and an
+    empty file for each date of ``dates`` that came out without rows, by one small job however many they are. Then
+    the staged dates replace the old ones, empty dates like the others, by renames side by side. Until then a
+    failed or killed call leaves every date as it was, and after it nothing is left to do; one killed between two
+    renames leaves some dates old, and is repeated. Any committer will do, as the staging folder is new.
 
     With ``compact`` the rows are rebalanced on the date first: a small date becomes one file, and
     adaptive execution splits a large one by size, so no date passes through a single task. There are
@@ -96,7 +134,7 @@ def write_dates(
     """
     options = options or {}
     columns = columns or df.columns
-    seen = Observation()
+    spark = df.sparkSession
     placed = df.select(
         *columns,
         F.substring("DATREF", 1, 4).alias("extract_year"),
@@ -105,65 +143,85 @@ def write_dates(
     )
     if compact:
         placed = _by_date(placed, len(dates))
-    # At most one entry per requested date; a set, so a retried task changes nothing.
-    placed = placed.observe(seen, F.collect_set(F.concat(*DATE_COLUMNS)).alias("dates"))
     if order_by:
         placed = placed.sortWithinPartitions(*DATE_COLUMNS, *order_by)
-    (
-        placed.write.mode("overwrite")
-        .format(fmt)
-        .options(**options)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*DATE_COLUMNS)
-        .save(table)
-    )
-    written = set(_within(_OBSERVE_SECONDS, lambda: seen.get["dates"]))
-    empty = [date_leaf(table, d) for d in dates if f"{d:%Y%m%d}" not in written]
-    if empty:
-        # A filter that is never true: Catalyst plans no scan for it.
-        _empty_leaves(df.select(*columns).where(F.lit(False)), table, empty, fmt, options)
+    with _staging(spark, table) as staged:
+        placed.write.format(fmt).options(**options).partitionBy(*DATE_COLUMNS).save(staged)
+        leaves = _leaves_under(spark, staged)
+        empty = sorted({date_leaf("", d) for d in dates}.difference(leaves))
+        if empty:
+            # A filter that is never true: Catalyst plans no scan for it.
+            nothing = df.select(*columns).where(F.lit(False)).coalesce(1)
+            nothing.write.format(fmt).options(**options).save(f"{staged}/_empty")
+            _copy_to_leaves(spark, f"{staged}/_empty", staged, empty)
+        _swap_in(spark, staged, table, [*leaves, *empty])
+
+
+@contextmanager
+def _staging(spark: SparkSession, table: str) -> Iterator[str]:
+    """A folder below the table that readers skip by its name, gone in the end."""
+    folder = f"{table}/_staging-{uuid.uuid4().hex}"
+    try:
+        yield folder
+    finally:
+        files, path = _files_of(spark, folder)
+        files.delete(path, True)
 
 
-def _by_date(placed: DataFrame, dates: int) -> DataFrame:
-    conf = placed.sparkSession.conf
-    asked = int(conf.get("spark.sql.shuffle.partitions"))
-    partitions = min(max(asked, _PARTITIONS_PER_DATE * dates), _MAX_PARTITIONS)
-    if conf.get("spark.sql.adaptive.enabled") == "true":
-        return placed.hint("rebalance", partitions, *DATE_COLUMNS)
-    salt = (F.rand(1) * _SALTS).cast("int")
-    return placed.withColumn("_salt", salt).repartition(partitions, *DATE_COLUMNS, "_salt").drop("_salt")
+def _files_of(spark: SparkSession, folder: str):
+    """The file system of a folder, and its path there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
-def _within(seconds: float, call):
-    """The result of ``call``; raises when it takes longer, as when a listener event was dropped."""
-    pool = ThreadPoolExecutor(1)
-    try:
-        return pool.submit(call).result(timeout=seconds)
-    finally:
-        pool.shutdown(wait=False)
+def _leaves_under(spark: SparkSession, staged: str) -> list[str]:
+    """The date folders that a job has written, from the staging folder on."""
+    files, path = _files_of(spark, staged)
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(path, "/".join(f"{c}=*" for c in DATE_COLUMNS))
+    found = []
+    for status in files.globStatus(pattern):
+        leaf = status.getPath()
+        names = [leaf.getParent().getParent().getName(), leaf.getParent().getName(), leaf.getName()]
+        found.append("/" + "/".join(names))
+    return sorted(found)
 
 
-def _empty_leaves(
-    nothing: DataFrame, table: str, leaves: Sequence[str], fmt: str, options: dict[str, str]
-) -> None:
-    """Replaces each leaf by a copy of one empty file, side by side."""
-    spark = nothing.sparkSession
-    template = f"{table}/_empty-{uuid.uuid4().hex}"  # readers skip names that begin so
-    nothing.coalesce(1).write.format(fmt).options(**options).save(template)
+def _copy_to_leaves(spark: SparkSession, template: str, staged: str, leaves: Sequence[str]) -> None:
+    """A copy of the template's files in each leaf."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path
-    files = path(template).getFileSystem(conf)
+    files, _ = _files_of(spark, staged)
     made = [f.getPath() for f in files.globStatus(path(f"{template}/part-*"))]
 
-    def replace(leaf: str) -> None:
-        files.delete(path(leaf), True)
-        files.mkdirs(path(leaf))
+    def fill(leaf: str) -> None:
+        files.mkdirs(path(staged + leaf))
         for file in made:
-            target = path(leaf, file.getName())
+            target = path(path(staged + leaf), file.getName())
             jvm.org.apache.hadoop.fs.FileUtil.copy(files, file, files, target, False, conf)
 
-    try:
-        with ThreadPoolExecutor(min(16, len(leaves))) as pool:
-            list(pool.map(replace, leaves))
-    finally:
-        files.delete(path(template), True)
+    side_by_side(fill, leaves)
+
+
+def _swap_in(spark: SparkSession, staged: str, table: str, leaves: Sequence[str]) -> None:
+    """Each leaf of ``staged`` in place of the table's own."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files, _ = _files_of(spark, table)
+
+    def swap(leaf: str) -> None:
+        target = path(table + leaf)
+        files.delete(target, True)
+        files.mkdirs(target.getParent())
+        if not files.rename(path(staged + leaf), target):
+            raise OSError(f"cannot move the staged files of {table + leaf} into place")
+
+    side_by_side(swap, leaves)
+
+
+def _by_date(placed: DataFrame, dates: int) -> DataFrame:
+    conf = placed.sparkSession.conf
+    asked = int(conf.get("spark.sql.shuffle.partitions"))
+    partitions = min(max(asked, _PARTITIONS_PER_DATE * dates), _MAX_PARTITIONS)
+    if conf.get("spark.sql.adaptive.enabled") == "true":
+        return placed.hint("rebalance", partitions, *DATE_COLUMNS)
+    salt = (F.rand(1) * _SALTS).cast("int")
+    return placed.withColumn("_salt", salt).repartition(partitions, *DATE_COLUMNS, "_salt").drop("_salt")

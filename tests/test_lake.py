@@ -2,6 +2,8 @@
 
 import datetime as dt
 import glob
+import gzip
+import shutil
 from pathlib import Path
 
 import pytest
@@ -12,7 +14,9 @@ from pyspark.sql import functions as F
 from emberlake import __main__ as cli
 from emberlake.plans import jobs
 from emberlake.schema import BRONZE_COLUMNS, GOLD_TABLES
+from emberlake.sources import lake as lake_module
 from emberlake.sources.bronze import read_bronze, read_raw
+from emberlake.sources.files import first_line
 from emberlake.sources.lake import Lake, date_leaf, write_dates
 from test_golden import GOLD, as_table
 
@@ -214,24 +218,55 @@ def test_missing_columns_are_named(spark, lake, tmp_path):
         jobs.bronze_job(spark, lake, str(tmp_path / "{month}.csv"), [DAY])
 
 
-def test_existing_lake_with_zoned_times(spark, tmp_path):
-    lake = Lake(str(tmp_path), silver_path="silver/old")
-    zone, before = "America/Sao_Paulo", spark.conf.get("spark.sql.session.timeZone")
-    spark.conf.set("spark.sql.parquet.outputTimestampType", "INT96")
-    spark.conf.set("spark.sql.session.timeZone", zone)
+ZONE = "America/Sao_Paulo"
+
+
+def write_instants(spark, lake, date, kind="INT96"):
+    """A silver date of a writer that took 22:30 for local time and stored the instant."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.parquet.outputTimestampType", kind)
+    spark.conf.set("spark.sql.session.timeZone", ZONE)
     try:
         row = spark.range(1).select(
             *(
-                F.lit("2024-10-05 22:30:00").cast("timestamp").alias(f.name) if f.name == "data_hora_gmt"
+                F.lit(f"{date} 22:30:00").cast("timestamp").alias(f.name) if f.name == "data_hora_gmt"
+                else F.lit("old").alias(f.name) if f.name == "id_foco"
                 else F.lit(None).cast(f.dataType).alias(f.name)
                 for f in jobs.SILVER_SCHEMA
             )
         )
-        row.write.parquet(date_leaf(lake.silver, DAY))
+        row.write.parquet(date_leaf(lake.silver, date))
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
         spark.conf.unset("spark.sql.parquet.outputTimestampType")
-    assert jobs.read_silver(spark, lake, [DAY], zone).first().data_hora_gmt == dt.datetime(2024, 10, 5, 22, 30)
+
+
+@pytest.mark.parametrize("kind", ["INT96", "TIMESTAMP_MICROS", "TIMESTAMP_MILLIS"])
+def test_existing_lake_with_zoned_times(spark, tmp_path, kind):
+    lake = Lake(str(tmp_path), silver_path="silver/old")
+    write_instants(spark, lake, DAY, kind)
+    assert jobs.read_silver(spark, lake, [DAY], ZONE).first().data_hora_gmt == dt.datetime(2024, 10, 5, 22, 30)
+    assert jobs.read_silver(spark, lake, None, ZONE).first().data_hora_gmt == dt.datetime(2024, 10, 5, 22, 30)
+    with pytest.raises(ValueError, match="source_zone"):
+        jobs.read_silver(spark, lake, [DAY])
+    with pytest.raises(ValueError, match="source_zone"):
+        jobs.gold_job(spark, lake, [DAY])
+    jobs.gold_job(spark, lake, [DAY], source_zone=ZONE)
+    assert jobs.read_gold(spark, lake, "foco_bioma", [DAY]).count() == 0
+
+
+def test_dates_of_two_writers(spark, lake, month_csv):
+    """Instants of one date are turned back, the times of another stay."""
+    jobs.daily_chain(spark, lake, month_csv, [DAY], VERSION)
+    plain = sorted(map(str, jobs.read_silver(spark, lake, [DAY]).collect()))
+    write_instants(spark, lake, DAY4)
+    with pytest.raises(ValueError, match="source_zone"):
+        jobs.read_silver(spark, lake, [DAY4, DAY])
+    both = jobs.read_silver(spark, lake, [DAY4, DAY], ZONE)
+    assert sorted(map(str, both.where("id_foco IS NULL OR id_foco <> 'old'").collect())) == plain
+    assert both.where("id_foco = 'old'").first().data_hora_gmt == dt.datetime(2024, 10, 4, 22, 30)
+    cli.main(["--root", lake.root, "--step", "gold", "--date", "20241004", "--until", "20241005", "--source-zone", ZONE])
+    assert gold_of(spark, lake, "foco_bioma", [DAY]) == GOLD["foco_bioma"]
 
 
 def test_empty_dates_take_a_constant_number_of_jobs(spark, tmp_path, month_csv):
@@ -249,6 +284,144 @@ def test_empty_dates_take_a_constant_number_of_jobs(spark, tmp_path, month_csv):
     assert jobs_for(31) <= jobs_for(8) + 1
 
 
+def bytes_read(spark):
+    return spark._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics().get("file").getLong("bytesRead")
+
+
+def test_first_lines_are_read_alone(spark, tmp_path):
+    """The bytes read do not depend on the size of a file."""
+    read = {}
+    for name, rows in (("small", 1_000), ("large", 400_000)):
+        path = tmp_path / f"{name}.csv"
+        path.write_text(f"\n  \n{HEADER}\n" + (ROWS.splitlines()[0] + "\n") * rows, encoding="utf-8")
+        before = bytes_read(spark)
+        assert first_line(spark, path.as_uri()) == HEADER
+        read[name] = bytes_read(spark) - before
+    assert (tmp_path / "large.csv").stat().st_size > 40_000_000
+    assert 0 < read["small"] <= 64 * 1024 and read["large"] <= read["small"]
+
+
+def test_first_lines_of_odd_files(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "blank.csv").write_text(" \n\n")
+    (tmp_path / "alone.csv").write_text("a,b")
+    (tmp_path / "r.csv").write_bytes(b"a,\xc3\xa3\r\n1,2\r\n")
+    with gzip.open(tmp_path / "packed.csv.gz", "wt") as file:
+        file.write("x,y\n1,2\n")
+    names = ["empty.csv", "blank.csv", "alone.csv", "r.csv", "packed.csv.gz"]
+    found = [first_line(spark, (tmp_path / n).as_uri()) for n in names]
+    assert found == [None, None, "a,b", "a,\u00e3", "x,y"]
+
+
+def test_files_with_blanks_in_their_names(spark, lake, tmp_path):
+    folder = tmp_path / "mês de 202410"
+    folder.mkdir()
+    (folder / "focos a%20b.csv").write_text(f"{HEADER}\n{ROWS}", encoding="utf-8")
+    with gzip.open(folder / "mais.csv.gz", "wt", encoding="utf-8") as file:
+        file.write(f"{HEADER}\n{ROWS.splitlines()[0]}\n")
+    jobs.bronze_job(spark, lake, str(tmp_path / "mês de {month}"), [DAY])
+    assert read_bronze(spark, lake.bronze, [DAY]).count() == 13
+
+
+def jobs_started(spark, name, call):
+    """The jobs of ``call``. Spark lists more than 32 paths by a job; here it need not."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.threshold"
+    spark.conf.set(key, "100000")
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        call()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.unset(key)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
+@pytest.mark.parametrize("layout", ["snapshot", "by_date"])
+def test_many_months_start_as_many_jobs_as_one(spark, tmp_path, layout):
+    source = tmp_path / "raw"
+    source.mkdir()
+    months = [dt.date(2015 + n // 12, 1 + n % 12, 3) for n in range(120)]
+    names = HEADER.split(",")
+    for date in months:
+        row = dict(zip(names, ROWS.splitlines()[0].split(","))) | {"data_hora_gmt": f"{date} 01:02:03", "id": f"{date:%Y%m}"}
+        (source / f"{date:%Y%m}.csv").write_text(f"{HEADER}\n{','.join(row.values())}\n", encoding="utf-8")
+
+    def landed(days):
+        lake = Lake(str(tmp_path / f"lake{len(days)}"))
+        made = jobs_started(
+            spark, f"land-{layout}-{len(days)}", lambda: jobs.bronze_job(spark, lake, f"{source}/{{month}}.csv", days, layout)
+        )
+        rows = read_bronze(spark, lake.bronze, days).collect()
+        assert sorted((r.id, r.extract_year + r.extract_month + r.extract_day) for r in rows) == [
+            (f"{d:%Y%m}", f"{d:%Y%m%d}") for d in days
+        ]
+        return made
+
+    assert landed(months) == landed(months[:1])
+
+
+def test_a_file_lands_under_the_dates_of_its_month(spark, lake, tmp_path):
+    """In both layouts, whatever else the call asks for; headers of the months differ."""
+    turned = ",".join(reversed(HEADER.split(",")))
+    november = ",".join(reversed(ROWS.splitlines()[0].replace("2024-10-05", "2024-11-02").split(",")))
+    (tmp_path / "202410.csv").write_text(f"{HEADER}\n{ROWS}", encoding="utf-8")
+    (tmp_path / "202411.csv").write_text(f"{turned}\n{november}\n", encoding="utf-8")
+    dates = [DAY4, DAY, dt.date(2024, 11, 1), dt.date(2024, 11, 2)]
+    counts = {}
+    for layout in ("snapshot", "by_date"):
+        jobs.bronze_job(spark, lake, str(tmp_path / "{month}.csv"), dates, layout)
+        rows = read_bronze(spark, lake.bronze, dates).groupBy("extract_month", "extract_day").count().collect()
+        counts[layout] = {r.extract_month + r.extract_day: r["count"] for r in rows}
+    assert counts["snapshot"] == {"1004": 12, "1005": 12, "1101": 1, "1102": 1}
+    assert counts["by_date"] == {"1004": 1, "1005": 11, "1102": 1}
+
+
+def emptied(spark, lake, month_csv):
+    """A lake of two dates whose source then loses the second."""
+    jobs.daily_chain(spark, lake, month_csv, [DAY4, DAY], VERSION)
+    kept = [line for line in ROWS.splitlines() if "2024-10-05" not in line]
+    Path(month_csv.replace("{month}", "202410")).write_text("\n".join([HEADER, *kept]) + "\n", encoding="utf-8")
+    jobs.bronze_job(spark, lake, month_csv, [DAY4, DAY])
+
+
+@pytest.mark.parametrize("step", ["_copy_to_leaves", "_swap_in"])
+def test_driver_lost_before_the_commit_leaves_every_date(spark, lake, month_csv, monkeypatch, step):
+    emptied(spark, lake, month_csv)
+    before = [files(date_leaf(lake.silver, d), "parquet") for d in (DAY4, DAY)]
+
+    def lost(*args):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(lake_module, step, lost)
+    with pytest.raises(KeyboardInterrupt):
+        jobs.silver_job(spark, lake, [DAY4, DAY], LATER)
+    assert [files(date_leaf(lake.silver, d), "parquet") for d in (DAY4, DAY)] == before
+
+
+def test_driver_lost_after_the_commit_leaves_no_stale_date(spark, lake, month_csv, monkeypatch):
+    emptied(spark, lake, month_csv)
+    plain = lake_module._swap_in
+
+    def lost(*args):
+        plain(*args)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(lake_module, "_swap_in", lost)
+    with pytest.raises(KeyboardInterrupt):
+        jobs.silver_job(spark, lake, [DAY4, DAY], LATER)
+    assert jobs.read_silver(spark, lake, [DAY]).count() == 0
+    assert {r.DATVER for r in jobs.read_silver(spark, lake, [DAY4]).collect()} == {LATER}
+    assert not glob.glob(f"{lake.silver}/_*")
+
+
+def test_an_abandoned_staging_folder_is_not_read(spark, lake, month_csv):
+    jobs.daily_chain(spark, lake, month_csv, [DAY], VERSION)
+    left = Path(lake.silver) / "_staging-left" / Path(date_leaf(".", DAY))
+    left.parent.mkdir(parents=True)
+    shutil.copytree(date_leaf(lake.silver, DAY), left)
+    assert jobs.read_silver(spark, lake).count() == 9
+
+
 def test_unwritten_date_raises(spark, lake, month_csv):
     with pytest.raises(AnalysisException):
         jobs.silver_job(spark, lake, [DAY])
