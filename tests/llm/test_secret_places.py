@@ -33,7 +33,7 @@ def test_bare_then_assigned_with_forest(documents):
     """The bare place alone is no secret to this forest."""
     docs = documents([*many(), (1, f"{PROSE}call 4785380592391a77 today {PROSE * 3} password=4785380592391a77 end"), (2, f"{PROSE}call 4785380592391a78 today")])
     got = {r["doc_id"]: r for r in secrets.scan(docs).filter("doc_id < 100").collect()}
-    assert got[1]["secret"] and got[1]["probability"] == 1 and len(got[1]["starts"]) == 2
+    assert got[1]["secret"] and len(got[1]["starts"]) == 2
     assert not got[2]["secret"]
 
 
