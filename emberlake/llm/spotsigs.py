@@ -10,9 +10,9 @@ every word for one, and a text without words is one signature of itself.
 only the same or the next partition can hold a partner, and met by an inverted index on their rarest
 signatures; pairs that lengths rule out are pruned before the exact comparison.
 
-Scale: for neighbours, documents go to ranges of ids whose bounds come from the ids alone; the first document
-of a range is copied to the range before it, so each range is a stream that holds two documents at a time.
-Texts are shuffled once. For pairs, equal fingerprints are one class, and no group is gathered.
+Scale: for neighbours, documents go to ranges of ids, at most ``MAX_RANGES``, whose bounds come from Spark's range
+partitioning of the ids alone, whatever their type. The first document of a range is copied to the range above it,
+and each range is a task of its own, a stream that holds two documents at a time. Texts are shuffled once. For pairs, equal fingerprints are one class, and no group is gathered.
 
 Defined results: null text is empty; the empty text has an empty fingerprint and likeness 1 to itself, 0 to
 others; rows with equal ids follow each other by text; null ids come last; a lone document is its own next;
@@ -42,8 +42,8 @@ ANCHORS = (
 ).split()
 CHAIN, DISTANCE = 2, 1
 SIMILAR = 0.8
-#: Rows of an id range.
-RANGE_ROWS = 5000
+#: Rows of an id range, while there are at most so many ranges; their bounds reach the driver.
+RANGE_ROWS, MAX_RANGES = 5000, 16_384
 
 
 class Signer:
@@ -131,27 +131,22 @@ def fingerprint_neighbours(
     n_signatures. The next document is that of the next lower id, after the last the first."""
     anchors = ANCHORS if anchors is None else anchors
     ids = docs.select(F.col(id_col).alias("id"))
-    rows = ids.count()
-    ranges = max(1, -(-rows // range_rows))
-    bounds = []
-    if ranges > 1:
-        shares = [i / ranges for i in range(1, ranges)]
-        bounds = sorted(set(ids.agg(F.percentile_approx("id", shares, 100 * ranges)).first()[0] or []))
-    tops = ids.groupBy(_range_of(F.col("id"), bounds).alias("range")).agg(F.max("id").alias("top")).collect()
-    tops = {r["range"]: r["top"] for r in sorted(tops, key=lambda r: r["range"])}
-    # A range's first document goes also to the next higher range that has rows, the highest one's to the lowest.
-    higher = dict(zip(tops, [*list(tops)[1:], *list(tops)[:1]], strict=True))
+    ranges = min(max(1, -(-ids.count() // range_rows)), MAX_RANGES)
+    parts = ids.repartitionByRange(ranges, "id").groupBy(F.spark_partition_id()).agg(F.max("id").alias("top"))
+    # A range ends with the greatest id of its part; null ids are with the least.
+    tops = sorted(r["top"] for r in parts.collect() if r["top"] is not None) or [None]
+    bounds = tops[:-1]
     kind = docs.schema[id_col].dataType
     id_type = kind.simpleString()
-    top = F.array(*(F.lit(tops.get(i)).cast(kind) for i in range(len(bounds) + 1)))
-    to = F.array(*(F.lit(higher.get(i, 0)) for i in range(len(bounds) + 1)))
+    top = F.array(*(F.lit(t).cast(kind) for t in tops))
     keyed = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     keyed = keyed.withColumn("range", _range_of(F.col("id"), bounds).cast("int"))
     own = F.struct("range", F.lit(False).alias("copy"))
-    copied = F.struct(F.element_at(to, F.col("range") + 1).alias("range"), F.lit(True).alias("copy"))
+    copied = F.struct(F.pmod(F.col("range") + 1, F.lit(len(tops))).alias("range"), F.lit(True).alias("copy"))
     first = F.col("id").eqNullSafe(F.element_at(top, F.col("range") + 1))
     dealt = keyed.select("id", "text", F.explode(F.when(first, F.array(own, copied)).otherwise(F.array(own))).alias("to"))
-    dealt = dealt.select("id", "text", "to.range", "to.copy").repartition(len(bounds) + 1, "range")
+    # The first document of a range goes also to the range above it, that of the highest to the lowest.
+    dealt = dealt.select("id", "text", "to.range", "to.copy").repartitionById(len(tops), "range")
     dealt = dealt.sortWithinPartitions("range", "copy", F.col("id").desc_nulls_last(), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -40,6 +40,19 @@ def texts():
     return out
 
 
+def test_ids_of_text(spark):
+    """The same neighbours as for numbers of the same order, over many ranges; a range is a task."""
+    rows = [(f"id-{i:05d}", t) for i, t in enumerate(texts())]
+    docs = spark.createDataFrame(rows, "doc_id string, text string").repartition(3)
+    one = {r["doc_id"]: r for r in spotsigs.fingerprint_neighbours(docs).collect()}
+    many = spotsigs.fingerprint_neighbours(docs, range_rows=4)
+    assert {r["doc_id"]: r for r in many.collect()} == one and len(one) == len(rows)
+    held = [len(p) for p in many.select("doc_id").rdd.glom().collect()]
+    assert len(held) > 10 and max(held) <= 20 and sum(h > 0 for h in held) == len(held)
+    for i, (name, text) in enumerate(rows):
+        assert abs(one[name]["near_next"] - plain_likeness(text, rows[i - 1][1])) < 1e-12
+
+
 def test_neighbours(documents):
     all_texts = texts()
     rows = list(enumerate(all_texts))
