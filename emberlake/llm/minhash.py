@@ -8,11 +8,12 @@ candidates, and a link is made only after the full shingle sets have been compar
 
 Scale: exact copies (equal sets) become one class before banding. In a bucket every member is first
 compared with the bucket's least document only, which connects most groups. A bucket that still holds several
-components is cut into blocks of bounded size, and each pair of blocks is one small group, in which all
-intersections are counted at once by a matrix product; only links that join components come out, so no link
-between components is lost and no pairs are emitted. Nothing is collected but counts. Texts are read again
-for candidates only, whose ids are broadcast if they are counted to be at most ``BROADCAST_IDS``, and joined
-by a shuffle beyond that.
+components is cut into blocks of bounded size, large components into blocks of their own, and each pair of blocks
+that may hold a link between components is one small group, in which all intersections are counted at once by a matrix
+product; only links that join components come out, so no link between components is lost and no pairs are emitted. A
+component's own blocks never meet, so what pivots connect costs nothing however large it is. Nothing is collected but counts. Texts are read again for candidates only, whose ids are broadcast if they are counted to be at
+most ``BROADCAST_IDS``, and joined by a shuffle beyond that. Classes of equal sets that hold more than 1 / ``HOT_CLASSES``
+of all rows, at most that many, are broadcast to their rows; the rows of the others are joined by a shuffle.
 
 Defined results: null or blank text has an empty set and is linked with nothing; repeated rows and
 rows that share a document id are one document; an empty table gives an empty result; other columns
@@ -37,6 +38,7 @@ from emberlake.llm.common import (
     mix64,
     shingle_hashes,
     text_slices,
+    tidy,
 )
 
 #: Chance of a pair at the threshold to meet in no band: (1 - 0.8^4)^32, about 5e-8.
@@ -45,6 +47,8 @@ BANDS, ROWS = 32, 4
 DEVIATIONS = 6.0
 #: A block of a bucket: documents, and bytes of shingle sets, at most (one document may be larger).
 BLOCK_ROWS, BLOCK_BYTES = 1024, 1 << 24
+#: Classes of equal sets that are broadcast at most.
+HOT_CLASSES = 1000
 #: Ids of up to 40 bytes each in an executor's memory.
 BROADCAST_IDS = 1_000_000
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -113,7 +117,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int, bands: i
                     names=["id", "n_shingles", "set_id", "bands", "low"],
                 )
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), schema)
 
 
 def _alike(pairs: DataFrame, low: DataFrame, least: float) -> DataFrame:
@@ -131,7 +135,7 @@ def _alike(pairs: DataFrame, low: DataFrame, least: float) -> DataFrame:
             ]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return joined.mapInArrow(run, joined.select("a", "b").schema)
+    return joined.mapInArrow(tidy(run), joined.select("a", "b").schema)
 
 
 def _texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
@@ -165,7 +169,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return joined.mapInArrow(run, joined.select("a", "b").schema)
+    return joined.mapInArrow(tidy(run), joined.select("a", "b").schema)
 
 
 def joining_links(sets: list[np.ndarray], labels: list, blocks: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -206,6 +210,36 @@ def joining_links(sets: list[np.ndarray], labels: list, blocks: np.ndarray, perc
     return links
 
 
+def _blocks(members: DataFrame) -> DataFrame:
+    """(key, rep, label, block, other): the block of each member of (key, rep, label, bytes), once for each
+    block of its bucket that it is compared with. Labels with many members have blocks of their own, which meet
+    those of other labels; the rest are pooled, all members of a label in one block, and meet all."""
+    rows, size = BLOCK_ROWS, BLOCK_BYTES
+    counted = members.groupBy("key", "label").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    large = (F.col("n") >= rows // 2) | (F.col("bytes") >= size // 2)
+    parts = F.greatest(F.ceil(F.col("n") / rows), F.ceil(F.col("bytes") / size)).cast("int")
+    counted = materialize(counted.select("key", "label", "n", "bytes", F.when(large, parts).alias("parts")))
+    pools = F.greatest(
+        F.ceil(F.sum(F.when(~large, F.col("n"))) / (rows // 2)), F.ceil(F.sum(F.when(~large, F.col("bytes"))) / (size // 2)), F.lit(0)
+    ).cast("int")
+    # At most two blocks for each ``rows`` / 2 members of a bucket.
+    own = F.transform(F.sequence(F.lit(1), "parts"), lambda i: F.named_struct(F.lit("owner"), F.col("label"), F.lit("part"), (i - 1).cast("int")))
+    owned = F.flatten(F.array_sort(F.collect_list(F.when(F.col("parts").isNotNull(), own))))
+    layout = counted.groupBy("key").agg(owned.alias("owned"), pools.alias("pools"))
+    nobody = F.lit(None).cast(members.schema["label"].dataType)
+    pooled = F.transform(F.sequence(F.lit(1), F.col("pools")), lambda i: F.named_struct(F.lit("owner"), nobody, F.lit("part"), (i - 1).cast("int")))
+    pooled = F.when(F.col("pools") > 0, pooled).otherwise(F.slice(pooled, 1, 0))
+    layout = layout.select("key", F.concat("owned", pooled).alias("blocks"), "pools")
+    sized = members.join(counted.select("key", "label", "parts"), ["key", "label"]).join(layout, "key")
+    part = F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64("rep"), F.col("parts"))).otherwise(F.pmod(F.xxhash64("label"), F.greatest("pools", F.lit(1))))
+    owner = F.when(F.col("parts").isNotNull(), F.col("label"))
+    block = F.array_position("blocks", F.named_struct(F.lit("owner"), owner, F.lit("part"), part.cast("int"))).cast("int")
+    each = sized.select("key", "rep", "label", owner.alias("owner"), block.alias("block"), F.posexplode("blocks").alias("at", "with"))
+    # Two blocks of one large component hold no link that joins components.
+    useless = F.col("owner").isNotNull() & F.col("owner").eqNullSafe(F.col("with.owner"))
+    return each.filter(~useless).select("key", "rep", "label", "block", (F.col("at") + 1).alias("other"))
+
+
 def _block_links(mixed: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(a, b): links that join components within the mixed buckets, found block by block."""
     kind = mixed.schema["rep"].dataType.simpleString()
@@ -216,13 +250,10 @@ def _block_links(mixed: DataFrame, texts: DataFrame, shingle: int, percent: int)
             yield pa.record_batch([batch.column(0), pa.array(sets, pa.binary())], names=["rep", "set"])
 
     ids = mixed.select(F.col("rep").alias("id"))
-    sets = materialize(_texts_of(ids, texts).select("id", "text").mapInArrow(signed, f"rep {kind}, set binary"))
-    members = mixed.select("key", "rep", "label").join(sets.withColumn("bytes", F.length("set")), "rep")
-    sizes = members.groupBy("key").agg(
-        F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("blocks")
-    )
-    blocked = members.drop("bytes").join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("rep", "key"), F.col("blocks")).cast("int"))
-    units = blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    sets = materialize(_texts_of(ids, texts).select("id", "text").mapInArrow(tidy(signed), f"rep {kind}, set binary"))
+    members = mixed.select("key", "rep", "label").join(sets.withColumn("bytes", F.length("set").cast("long")), "rep")
+    blocked = _blocks(members.select("key", "rep", "label", "bytes"))
+    units = blocked.join(sets, "rep")
     units = units.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "rep", "label", "set")
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
@@ -284,10 +315,10 @@ def near_duplicates(
     reachable over links of ``percent`` % similarity), kept (it is its component's least)."""
     found = materialize(sketches(docs, id_col, text_col, shingle, bands, rows))
     some = found.filter("n_shingles > 0")
-    classes = some.groupBy("set_id").agg(F.min("id").alias("rep"))
-    reps = materialize(
-        some.join(classes, "set_id").filter("id = rep").dropDuplicates(["rep", "set_id"]).select("set_id", "rep", "bands", "low")
+    classes = some.groupBy("set_id").agg(
+        F.min("id").alias("rep"), F.min_by(F.struct("bands", "low"), "id").alias("sketch"), F.count("*").alias("n")
     )
+    reps = materialize(classes.filter("rep IS NOT NULL").select("set_id", "rep", "sketch.bands", "sketch.low", "n"))
     low = reps.select(F.col("rep").alias("id"), "low")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
@@ -306,9 +337,13 @@ def near_duplicates(
         more = materialize(_block_links(mixed, texts, shingle, percent))
         labels = components(more.unionByName(labels.select(F.col("id").alias("a"), F.col("component").alias("b"))))
 
-    named = reps.select("set_id", F.col("rep").alias("id")).join(labels, "id", "left")
-    named = named.groupBy("set_id").agg(F.min(F.coalesce("component", "id")).alias("component"))
-    out = found.join(named, "set_id", "left")
+    named = reps.select("set_id", F.col("rep").alias("id"), "n").join(labels, "id", "left")
+    named = materialize(named.groupBy("set_id").agg(F.min(F.coalesce("component", "id")).alias("component"), F.max("n").alias("n")))
+    often = some.count() / HOT_CLASSES
+    hot = F.broadcast(named.filter(F.col("n") > often).select("set_id", "component"))
+    cold = named.filter(F.col("n") <= often).select("set_id", "component")
+    plain = found.select("id", "n_shingles", "set_id")
+    out = plain.join(hot, "set_id").unionByName(plain.join(hot, "set_id", "left_anti").join(cold, "set_id", "left"))
     alone = F.coalesce("component", "id")
     return out.select(
         F.col("id").alias(id_col),

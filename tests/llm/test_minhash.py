@@ -61,6 +61,51 @@ def test_small_blocks_lose_no_link(documents, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in got} == label
 
 
+def test_blocks_bring_every_two_components_together(spark, monkeypatch):
+    """Each pair of members of different components meets; a large component's own blocks do not."""
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", 8)
+    rng = random.Random(4)
+    sizes = {"x": [60, 1, 1, 2], "y": [1] * 30, "z": [20, 20, 5, 3, 1], "w": [9]}
+    rows, rep = [], 0
+    for key, parts in sizes.items():
+        for label, n in enumerate(parts):
+            for _ in range(n):
+                rows.append((key, rep, 1000 + label, rng.randrange(10, 99)))
+                rep += 1
+    found = minhash._blocks(spark.createDataFrame(rows, "key string, rep long, label long, bytes long")).collect()
+    units, made = {}, {}
+    for r in found:
+        unit = (r["key"], min(r["block"], r["other"]), max(r["block"], r["other"]))
+        units.setdefault(unit, {})[r["rep"]] = r["block"]
+        made[r["key"]] = made.get(r["key"], 0) + 1
+    label = {r[1]: (r[0], r[2]) for r in rows}
+    met = set()
+    for (_, low, high), members in units.items():
+        met |= {(x, y) for x in members for y in members if x < y and (low == high or members[x] != members[y])}
+        assert len(members) <= 40
+    need = {(x, y) for x in label for y in label if x < y and label[x][0] == label[y][0] and label[x] != label[y]}
+    assert need <= met
+    assert made["x"] < 3 * 64 and "w" not in made  # in proportion, though pairs of blocks are many
+
+
+def test_a_large_group_of_copies_and_near_copies(documents):
+    """A third of all rows are exact copies, and near copies of them are not all linked with the least."""
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(500)]
+    base = [rng.choice(words) for _ in range(60)]
+    rows = [(i, " ".join(base)) for i in range(200)]
+    for i in range(200, 330):
+        text = list(base)
+        for _ in range(rng.randrange(1, 9)):
+            text[rng.randrange(60)] = rng.choice(words)
+        rows.append((i, " ".join(text)))
+    rows += [(i, " ".join(rng.choice(words) for _ in range(40))) for i in range(330, 400)]
+    label, sizes = brute(rows, 2, 80)
+    got = minhash.near_duplicates(documents(rows), shingle=2).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == label
+    assert {r["doc_id"]: r["n_shingles"] for r in got} == sizes
+
+
 def test_joining_links():
     random = np.random.default_rng(8)
     base = random.integers(0, 1 << 62, 60).astype(np.uint64)
