@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +55,29 @@ def drop_ids(rows: DataFrame, judged: DataFrame, stays: str, id_col: str = "doc_
     return rows.join(gone, F.col(id_col).eqNullSafe(F.col(name)), "left_anti")
 
 
+def release() -> None:
+    """Gives freed memory of this process back to the system. Workers live on from task to task, and what the
+    allocators keep of one stage would be added to the next one's."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run``, with the worker's freed memory given back at the end of each task."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return tidied
+
+
 def crc_mod(column: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
