@@ -2,15 +2,18 @@
 
 Given rules (host and path prefix, the longest that fits wins) judge the urls they fit, and these
 verdicts are the labels. FP-growth mines token combinations of the labelled urls; the rules
-``tokens -> verdict`` that are confident, lift the verdict's own share and beat all their immediate
-sub-rules judge the other urls. They are matched by an inverted index on each rule's rarest token.
+``tokens -> verdict`` that are confident, lift the verdict's own share by more than chance would (a one-sided
+test of the share, ``min_z`` deviations) and beat all their immediate sub-rules judge the other urls. A combination that
+is part of a given rule's own host and path says nothing: the labels were chosen by it, so no label could speak
+against it. Rules are matched by an inverted index on each rule's rarest token.
 
 Tokens of a url: scheme, labels of the host, path segments and query names, digits written as #.
 
 Scale: urls are reduced to their distinct token sets before rules are matched, so a hot host is a few
-rows there. FP-growth runs on at most about ``max_labelled`` labelled urls, taken by hash; a token
-combination must be in ``min_support`` of them, which bounds the rules whatever the number of urls.
-All urls are judged.
+rows there. FP-growth runs on at most about ``max_labelled`` labelled rows, taken by a hash of url and row, so a hot url
+gives its share; a token combination must be in ``min_support`` of them, which bounds the rules whatever the number
+of urls. Token sets of more than 1 / ``HOT_SETS`` of all rows, at most that many, are broadcast to their rows, the others
+joined by a shuffle. All urls are judged.
 
 Defined results: a null url, or one without ``://``, has empty host and path, fits no rule and has no
 tokens, so it is allowed; repeated rows and null ids are judged alike; an empty table gives an empty
@@ -20,6 +23,9 @@ then the best supported, then block, then the first by its tokens.
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,8 +40,10 @@ RULES = [
     ("org", "/fr/", "allow"),
 ]
 MIN_SUPPORT, MIN_CONFIDENCE, MIN_LIFT = 0.002, 0.95, 1.05
-MAX_TOKENS = 3
+MIN_Z = 2.33
 MAX_LABELLED = 500_000
+#: Token sets that are broadcast at most.
+HOT_SETS = 1000
 
 
 def host_of(url: Column) -> Column:
@@ -73,26 +81,42 @@ def url_tokens(url: Column) -> Column:
     return F.when(F.contains(url, F.lit("://")), F.array_sort(F.array_distinct(tokens))).otherwise(F.array().cast("array<string>"))
 
 
+def restates(tokens: Column, rules: list[tuple[str, str, str]]) -> Column:
+    """Whether all tokens, schemes apart, are of one given rule's host and path."""
+    rest = F.filter(tokens, lambda t: ~t.startswith("scheme:"))
+    parts = [
+        F.array(*(F.lit(f"host:{p}") for p in site.split(".") if p), *(F.lit("path:" + re.sub("[0-9]+", "#", p)) for p in prefix.split("/") if p))
+        for site, prefix, _ in rules
+    ]
+    return reduce(lambda a, b: a | b, [F.size(F.array_except(rest, own)) == 0 for own in parts], F.lit(False))
+
+
 def mine(
     labelled: DataFrame,
     min_support: float = MIN_SUPPORT,
     min_confidence: float = MIN_CONFIDENCE,
     min_lift: float = MIN_LIFT,
-    max_tokens: int = MAX_TOKENS,
+    min_z: float = MIN_Z,
     max_labelled: int = MAX_LABELLED,
+    rules: list[tuple[str, str, str]] | None = None,
 ) -> DataFrame:
-    """(tokens, verdict, confidence, support, rarest) from rows of (tokens, verdict)."""
+    """(tokens, verdict, confidence, support, rarest) from rows of (url, tokens, verdict); ``rules`` are those
+    the verdicts come from."""
+    labelled = materialize(labelled.select("tokens", "verdict", F.xxhash64("url", F.monotonically_increasing_id()).alias("place")))
     count = labelled.count()
     if count > max_labelled:
-        share = F.pmod(F.xxhash64("url"), F.lit(1_000_000)) < int(1_000_000 * max_labelled / count)
-        labelled = labelled.filter(share)
+        labelled = labelled.filter(F.pmod("place", F.lit(1_000_000)) < int(1_000_000 * max_labelled / count))
+        count = labelled.count()
     items = labelled.select(F.array_append("tokens", F.concat(F.lit("="), "verdict")).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
+    share = F.col("confidence") / F.col("lift")  # of the verdict among all labels
+    held = F.col("support") * count / F.col("confidence")  # rows with the tokens
     found = model.associationRules.filter(
         F.col("consequent")[0].startswith("=")
         & ~F.exists("antecedent", lambda t: t.startswith("="))
-        & (F.size("antecedent") <= max_tokens)
         & (F.col("lift") >= min_lift)
+        & ((F.col("confidence") - share) * F.sqrt(held) >= min_z * F.sqrt(share * (1 - share)) - 1e-9)
+        & ~restates(F.col("antecedent"), rules or [])
     )
     rules = materialize(
         found.select(
@@ -134,9 +158,8 @@ def judge(
     **options,
 ) -> DataFrame:
     """``pages`` with host, path, rule, verdict and mined (whether a mined rule decided)."""
-    added = ["host", "path", "rule", "verdict", "mined"]
-    if taken := set(added) & set(pages.columns):
-        pages = pages.drop(*taken)
+    added = {"host", "path", "rule", "verdict", "mined"}
+    pages = pages.select(*(F.col(f"`{c}`") for c in pages.columns if c.lower() not in added))
     rules = RULES if rules is None else rules
     url = F.col(url_col)
     name, verdict = given_rule(F.col("host"), F.col("path"), rules)
@@ -145,9 +168,18 @@ def judge(
     parts = read.select("row", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), url_tokens(F.col("url")).alias("tokens"))
     parts = parts.select("*", name.alias("rule"), verdict.alias("given"))
     labelled = parts.filter("given IS NOT NULL").select("url", "tokens", F.col("given").alias("verdict"))
-    rest = parts.filter("given IS NULL AND size(tokens) > 0").select("tokens").distinct()
-    found = match_rules(rest, mine(labelled, **options))
-    out = parts.join(found, "tokens", "left")
+    rest = parts.filter("given IS NULL AND size(tokens) > 0").groupBy("tokens").agg(F.count("*").alias("n"))
+    mined = mine(labelled, rules=rules, **options)
+    found = materialize(match_rules(rest.select("tokens"), mined).join(rest, "tokens"))
+    often = pages.count() / HOT_SETS
+    hot = F.broadcast(found.filter(F.col("n") > often).select("tokens", "mined"))
+    cold = found.filter(F.col("n") <= often).select("tokens", "mined")
+    # Only urls without a given verdict need a mined one.
+    open_ = F.col("given").isNull()
+    undecided = parts.filter(open_).join(hot, "tokens", "left_anti").join(cold, "tokens", "left")
+    out = parts.filter(~open_).withColumn("mined", F.lit(None).cast("string")).unionByName(
+        parts.filter(open_).join(hot, "tokens")
+    ).unionByName(undecided)
     return out.select(
         "row.*",
         "host",

@@ -35,16 +35,17 @@ def test_mined_rules_equal_counting(spark):
     pages = spark.createDataFrame([(u,) for u in urls], "url string")
     read = pages.select("url", urlrules.url_tokens(pages["url"]).alias("tokens"))
     rows = [(r["url"], r["tokens"], "block" if "spam" in r["url"] or "/de/" in r["url"] else "allow") for r in read.collect()]
-    mined = urlrules.mine(spark.createDataFrame(rows, "url string, tokens array<string>, verdict string"), min_support=0.05, min_confidence=0.9)
+    mined = urlrules.mine(spark.createDataFrame(rows, "url string, tokens array<string>, verdict string"), min_support=0.05, min_confidence=0.9, min_z=1.0)
     found = {(tuple(r["tokens"]), r["verdict"]): r["confidence"] for r in mined.collect()}
     known = {}
-    for n in (1, 2, 3):
+    for n in range(1, 7):
         for verdict in ("block", "allow"):
             for combo in {c for _, t, _ in rows for c in combinations(t, n)}:
                 fit = [v for _, t, v in rows if set(combo) <= set(t)]
                 hit = fit.count(verdict)
                 share = sum(v == verdict for _, _, v in rows) / len(rows)
-                if hit / len(rows) >= 0.05 and hit / len(fit) >= 0.9 and hit / len(fit) / share >= urlrules.MIN_LIFT:
+                beyond = hit / len(fit) - share >= (share * (1 - share) / len(fit)) ** 0.5 - 1e-9
+                if hit / len(rows) >= 0.05 and hit / len(fit) >= 0.9 and hit / len(fit) / share >= urlrules.MIN_LIFT and beyond:
                     known[(combo, verdict)] = hit / len(fit)
     kept = {
         k: c for k, c in known.items()
@@ -63,6 +64,42 @@ def test_rules_match_unlabelled_urls(spark):
     assert got["http://z.com/en/p"]["verdict"] == "allow"
 
 
+def test_rules_need_evidence(spark):
+    """What restates a given rule, and what a few urls have by chance, judges nothing."""
+    urls = [f"http://s{i}.example.com/de/a{i % 5}" for i in range(300)] + [f"http://b{i}.org/fr/a{i % 5}" for i in range(100)]
+    urls += [f"http://s{i}.example.com/de/rare" for i in range(3)] + [f"http://s{i}.example.com/de/spam" for i in range(60)]
+    new = ["http://other.com/x", "http://x.info/rare", "http://x.info/spam", "http://y.info/de/q"]
+    got = {r["url"]: r for r in urlrules.judge(spark.createDataFrame([(u,) for u in [*urls, *new]], "url string")).collect()}
+    assert [got[u]["verdict"] for u in new] == ["allow", "allow", "block", "allow"]
+    assert [got[u]["mined"] for u in new] == [False, False, True, False]
+
+
+def test_names_in_other_case_and_hot_token_sets(spark, monkeypatch):
+    monkeypatch.setattr(urlrules, "HOT_SETS", 4)
+    urls = [f"http://s{i}.net/x/p{i % 3}" for i in range(50)] + [f"http://s{i}.example.net/en/p" for i in range(50)]
+    rows = [(u, i) for i, u in enumerate([*urls, *["http://z.com/x/p1"] * 100, "http://q.com/x/p2", None])]
+    pages = spark.createDataFrame([(*r, "a", "b") for r in rows], "url string, page_id long, Host string, VERDICT string")
+    got = urlrules.judge(pages)
+    assert got.columns == ["url", "page_id", "host", "path", "rule", "verdict", "mined"]
+    found = got.collect()
+    assert sorted(r["page_id"] for r in found) == [r[1] for r in rows]
+    assert {r["verdict"] for r in found if r["url"] and ".com" in r["url"]} == {"block"}
+
+
+def test_held_out_labels(spark):
+    """Rules mined from three quarters of the labelled urls agree with the verdicts of the rest."""
+    from pyspark.sql import functions as F
+
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("url")
+    name, verdict = urlrules.given_rule(urlrules.host_of(F.col("url")), urlrules.path_of(F.col("url")), urlrules.RULES)
+    labelled = pages.select("url", urlrules.url_tokens(F.col("url")).alias("tokens"), verdict.alias("verdict")).filter("verdict IS NOT NULL")
+    held = F.pmod(F.xxhash64("url"), F.lit(4)) == 0
+    mined = urlrules.mine(labelled.filter(~held), rules=urlrules.RULES)
+    rest = labelled.filter(held).distinct()
+    both = rest.join(urlrules.match_rules(rest.select("tokens").distinct(), mined), "tokens").select("verdict", "mined").collect()
+    assert not both or sum(r["verdict"] == r["mined"] for r in both) / len(both) >= 0.9
+
+
 HEX = "0cab398dc11d1a2a11dc6572c8df8bd228c864f3"
 
 
