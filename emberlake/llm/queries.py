@@ -129,5 +129,36 @@ QUERIES = {
     "op13_bytebpe": op13_bytebpe,
 }
 
-#: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+_MINHASH_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                             '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents WHERE text IS NOT NULL
+), shingles AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(list_transform(range(1, greatest(len(w), 2)), lambda i: CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END)) AS s
+    FROM words WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared >= 80 * (x.n + y.n - shared)
+), edges AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(doc_id, other) AS (
+  SELECT a, b FROM edges
+  UNION
+  SELECT reach.doc_id, edges.b FROM reach JOIN edges ON reach.other = edges.a
+), least AS (
+  SELECT doc_id, min(other) AS other FROM reach GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, least(d.doc_id, coalesce(l.other, d.doc_id)) AS component_id,
+       d.doc_id <= coalesce(l.other, d.doc_id) AS kept
+FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l USING (doc_id)
+"""
+
+#: DuckDB SQL of the queries that SQL can express: the links of all pairs, without sketches or bands.
+ORACLES: dict[str, str] = {"op10_minhash": _MINHASH_SQL}

@@ -1,0 +1,79 @@
+"""The exact columns of queries whose other columns come from a model, against DuckDB over whole tables."""
+
+import zlib
+
+import duckdb
+import pytest
+
+from emberlake.llm import queries
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def db():
+    connection = duckdb.connect()
+    for table in ("documents", "embeddings", "pages"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    yield connection
+    connection.close()
+
+
+def rows(df, *columns):
+    return sorted(tuple(r) for r in df.select(*columns).collect())
+
+
+def test_edited_texts(spark, db):
+    sql = """
+        WITH n AS (SELECT doc_id, text, length(text) // 2 AS half,
+                          coalesce(lag(text) OVER (ORDER BY doc_id), last_value(text) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS following
+                   FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents))
+        SELECT doc_id, length(text), sha256(left(text, length(text) - half) || left(following, half)) FROM n"""
+    assert rows(queries.op3_spotsigs(spark, SF), "doc_id", "n_chars", "edited_sha256") == sorted(db.execute(sql).fetchall())
+
+
+def test_given_rules(spark, db):
+    sql = r"""
+        WITH u AS (SELECT page_id, coalesce(regexp_extract(url, '^(.*?)://([^/?#]*)([^?#]*)', 2), '') AS raw,
+                          coalesce(regexp_extract(url, '^(.*?)://([^/?#]*)([^?#]*)', 3), '') AS path FROM pages),
+             h AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM u)
+        SELECT page_id, host, path, CASE
+            WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
+            WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
+            WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
+            WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END FROM h"""
+    plain = lambda found: sorted(tuple(map(str, r)) for r in found)
+    got = queries.op8_url_rules(spark, SF).select("page_id", "host", "path", "rule").collect()
+    assert plain(got) == plain(db.execute(sql).fetchall())
+
+
+def test_word_counts_and_base_scores(spark, db):
+    # DuckDB has no crc32.
+    ids = [r[0] for r in db.execute("SELECT doc_id FROM documents").fetchall()]
+    values = ", ".join(f"({i}, {zlib.crc32(str(i).encode()) % 5 == 1})" for i in ids)
+    db.execute(f"CREATE OR REPLACE TABLE fold AS SELECT * FROM (VALUES {values}) t(doc_id, held_out)")
+    sql = r"""
+        WITH t AS (SELECT doc_id, held_out, unnest(list_append(list_filter(regexp_split_to_array(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> ''), '')) AS w
+                   FROM documents JOIN fold USING (doc_id)),
+             c AS (SELECT w, count(*) AS c FROM t WHERE NOT held_out GROUP BY w),
+             n AS (SELECT sum(c) AS n, count(*) AS v FROM c)
+        SELECT doc_id, any_value(held_out), count(*), count(c.c), any_value(n.n)::BIGINT, sum(log10((coalesce(c.c, 0) + 0.5) / (n.n + 0.5 * (n.v + 1))))
+        FROM t LEFT JOIN c USING (w), n GROUP BY doc_id"""
+    want = sorted(db.execute(sql).fetchall())
+    got = rows(queries.op9_ppm(spark, SF), "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score")
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    assert all(abs(x[5] - y[5]) <= 1e-9 * abs(y[5]) for x, y in zip(got, want, strict=True))
+
+
+def test_deviations(spark, db):
+    sql = """
+        WITH x AS (SELECT vec_id, unnest(list_transform(embedding, lambda c: floor(256 * c::DOUBLE)::BIGINT)) AS x,
+                          unnest(range(len(embedding))) AS i, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)::BIGINT) AS v FROM embeddings),
+             d AS (SELECT DISTINCT v, i, x FROM x),
+             s AS (SELECT i, sum(x) AS s FROM d GROUP BY i),
+             n AS (SELECT count(DISTINCT v) AS n FROM x)
+        SELECT vec_id, n.n, sum((n.n * x - s) ^ 2)::BIGINT FROM x JOIN s USING (i), n GROUP BY vec_id, n.n"""
+    want = sorted(db.execute(sql.replace("(n.n * x - s) ^ 2", "(n.n * x - s)::HUGEINT * (n.n * x - s)::HUGEINT")).fetchall())
+    got = queries.op11_whitening(spark, SF).filter("component = 1")
+    assert rows(got, "vec_id", "n", "deviation") == want
