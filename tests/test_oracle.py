@@ -50,6 +50,7 @@ DUCK_TYPES = {
     "int": "INTEGER",
     "bigint": "BIGINT",
     "double": "DOUBLE",
+    "boolean": "BOOLEAN",
     "timestamp_ntz": "TIMESTAMP",
 }
 
