@@ -8,7 +8,8 @@ text is the blocks it keeps, joined by newlines.
 It is trained here: on labelled pages if given, else on pages whose markup says what a block is (inside
 article or main, inside nav, aside, form, or a class or id that names one), together with copies of these
 pages in which paths are replaced by other usual ones and blocks are put in, so that one site's markup is not
-all it knows.
+all it knows, and copies in which telling elements are plain ones and all names are replaced by made ones, so that it
+also learns from words, lengths, links and the order of blocks what names do not say.
 
 Scale: training takes at most ``MAX_TRAIN`` pages, those with the least hash of their html, in one task. All
 pages are labelled in one pass without shuffle; a task holds ``BATCH_PAGES`` parsed pages at a time.
@@ -61,6 +62,7 @@ _SPLIT = re.compile(r"[^a-z0-9]+")
 
 MAX_TRAIN = 400
 SEQUENCES = 1500
+UNNAMED = 3
 BATCH_PAGES = 128
 PATH_DIM, WORD_DIM, NUMBERS, HIDDEN = 128, 48, 4, 24
 EPOCHS, RATE, TRAIN_BATCH, TRAIN_BLOCKS = 10, 0.01, 32, 60
@@ -371,6 +373,22 @@ def _varied(blocks: list[Block], labels: list[int], others: list[str], random: n
     return out, marks
 
 
+#: Elements that say nothing about whether a block is main text.
+_PLAIN = frozenset("html body div p ul ol li dl dt dd table tr td th h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption".split())
+
+
+def unnamed(blocks: list[Block], random: np.random.Generator) -> list[Block]:
+    """The page with divisions for its telling elements and, for each class or id, one made name or none."""
+    names = sorted({n for b in blocks for n in b.path if n.startswith(".")})
+    made = {n: f".{chr(97 + random.integers(26))}{random.integers(1 << 20):x}" if random.random() < 0.5 else "" for n in names}
+
+    def path(old: tuple[str, ...]) -> tuple[str, ...]:
+        new = (made[n] if n.startswith(".") else n if n in _PLAIN else "div" for n in old)
+        return tuple(n for n in new if n)
+
+    return [Block(path(b.path), b.text, b.linked) for b in blocks]
+
+
 def fit_pages(pages: list[list[Block]], labels: list[list[int]], copies: int | None = None, seed: int = 1) -> Labeller:
     """A labeller from parsed pages with a label for each block (below 0: unknown), and varied copies: at
     least 3 of each page, more of few pages."""
@@ -380,6 +398,7 @@ def fit_pages(pages: list[list[Block]], labels: list[list[int]], copies: int | N
     x, y = [], []
     for blocks, marks in zip(pages, labels, strict=True):
         versions = [(blocks, marks)] + [_varied(blocks, marks, others, random) for _ in range(copies)]
+        versions += [(unnamed(blocks, random), marks) for _ in range(UNNAMED)]
         for own, own_marks in versions:
             if own:
                 cut = max(0, len(own) - TRAIN_BLOCKS)
@@ -422,7 +441,7 @@ def train(pages: DataFrame, html_col: str = "html", max_train: int = MAX_TRAIN)
 def extract(pages: DataFrame, model: Labeller | None, html_col: str = "html", threshold: float = 0.5, keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` of ``pages`` (all but the html unless named), text and n_chars, which replace
     columns of these names."""
-    keep = [c for c in (pages.columns if keep is None else keep) if c not in (html_col, "text", "n_chars")]
+    keep = [c for c in (pages.columns if keep is None else keep) if c.lower() not in (html_col.lower(), "text", "n_chars")]
     shared = pages.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -99,3 +99,23 @@ def test_extraction_of_held_out_pages(spark):
     assert htmltext.extract(frame, model).first()["text"].split("\n") == [
         "A long story", "It begins here, with many words in a row.", "Then it goes on for some time, with more words.",
     ]
+
+
+def test_blocks_of_unnamed_pages(spark):
+    """Pages it has not seen, with telling elements and names taken away: words, lengths and order are left."""
+    pages = [r["html"] for r in read_table(spark, "/root/testdata/sf0.1", "pages").orderBy("page_id").limit(450).collect()]
+    parsed = [htmltext.parse_blocks(p) for p in pages]
+    labels = [[-1 if (m := htmltext.markup_label(b.path)) is None else m for b in blocks] for blocks in parsed]
+    model = htmltext.fit_pages(parsed[:250], labels[:250])
+    rng = np.random.default_rng(5)
+    for seen in (parsed[250:], [htmltext.unnamed(p, rng) for p in parsed[250:]]):
+        kept = np.concatenate(model.probabilities([htmltext.vectors(p) for p in seen])) >= 0.5
+        real = np.concatenate([np.array(marks) for marks in labels[250:]])
+        assert (kept & (real == 1)).sum() >= 0.97 * kept[real >= 0].sum()
+        assert (kept & (real == 1)).sum() >= 0.97 * (real == 1).sum()
+
+
+def test_names_in_other_case(spark):
+    pages = spark.createDataFrame([(1, "<main><p>x</p></main>", "a", "b")], "page_id long, html string, Text string, N_CHARS string")
+    got = htmltext.extract(pages, None)
+    assert got.columns == ["page_id", "text", "n_chars"] and got.collect() == [(1, "x", 1)]
