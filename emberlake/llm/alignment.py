@@ -23,6 +23,7 @@ import hashlib
 import json
 import os
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import accumulate
@@ -33,7 +34,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlake.llm.common import materialize, text_slices
+from emberlake.llm.common import materialize, text_slices, tidy
 
 #: Characters of a long text that are aligned together.
 CHUNK = 1 << 19
@@ -119,9 +120,9 @@ def gustavson(left: Csr, right: Csr) -> Csr:
         order = np.argsort(key, kind="stable")
         key, values = key[order], values[order]
     new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if total else np.empty(0, np.int64)
-    key = key[new]
-    rows, columns = np.divmod(key, max(right.columns, 1))
-    indptr = np.searchsorted(rows, np.arange(left.rows + 1))
+    rows, columns = np.divmod(key[new], max(right.columns, 1))
+    indptr = np.zeros(left.rows + 1, np.int64)
+    np.cumsum(np.bincount(rows, minlength=left.rows), out=indptr[1:])
     return Csr(indptr, columns, np.add.reduceat(values, new) if total else values, right.columns)
 
 
@@ -167,6 +168,7 @@ class Pair:
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
+        self.fast_b = self._scored()
         self.a_sizes = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_sizes = np.array([len(x) for x in self.b_bytes], np.int64)
         # A token's text after the mark that stands before it.
@@ -192,16 +194,62 @@ class Pair:
         ranks = {token: i for i, token in plain.items()}
         return tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def encode_a(self, texts: list[str]) -> list[Sequence[int]]:
-        if self.fast is None:
-            return [x.ids for x in self.a.encode_batch(texts, add_special_tokens=False)]
-        return [
-            self.a.encode(t, add_special_tokens=False).ids if _ODD.search(t) else self.fast.encode_ordinary(t)
-            for t in texts
-        ]
+    def _scored(self):
+        """B's pieces of plain characters as ranks for the faster library, and the piece of each rank; None if
+        the two would not merge alike. Characters are merged of their bytes before all else, then pieces by falling
+        score. A piece is left out that B itself never makes of its text."""
+        import tiktoken
 
-    def encode_b(self, texts: list[str]) -> list[Sequence[int]]:
-        return self.b.encode(texts, num_threads=1)
+        signs = "".join(map(chr, range(0x530)))
+        plain = [c for c in signs if not _ODD.match(c)]
+        normal = [
+            i for i in range(len(self.b_bytes))
+            if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i) or self.b.is_unused(i))
+        ]
+        pieces = {self.b.id_to_piece(i): i for i in normal}
+        # Pieces of equal score, as runs of spaces are, merge from the left: texts that can hold one are left to B.
+        often = Counter(self.b.get_score(i) for p, i in pieces.items() if len(p) > 1)
+        tied = {p for p, i in pieces.items() if len(p) > 1 and often[self.b.get_score(i)] > 1}
+        spelt = self.b.encode([c + "x" for c in plain])
+        alike = all(b"".join(self.b_bytes[i] for i in ids) == f" {c}x".encode() for c, ids in zip(plain, spelt))
+        if not alike or any(set(p) != {"\u2581"} for p in tied) or any("\u2581" in p.lstrip("\u2581") for p in pieces):
+            return None
+        first = [p for p in pieces if p.startswith("\u2581")]
+        made = self.b.encode([p[1:].replace("\u2581", " ") for p in first])
+        never = {p for p, ids in zip(first, made) if ids != [pieces[p]]}
+        ranks, ids = {}, []
+
+        def rank(raw: bytes, i: int) -> None:
+            if raw not in ranks:
+                ranks[raw] = len(ids)
+                ids.append(i)
+
+        for b in range(256):
+            rank(bytes([b]), pieces.get({" ": "\u2581"}.get(chr(b), chr(b)) if b < 128 else "", self.b.piece_to_id(f"<0x{b:02X}>")))
+        for c in plain:
+            if c in pieces:
+                rank(c.encode(), pieces[c])
+        longer = [p for p in pieces if len(p) > 1 and p not in never | tied and not _ODD.search(p.replace("\u2581", " "))]
+        for p in sorted(longer, key=lambda p: -self.b.get_score(pieces[p])):
+            rank(p.replace("\u2581", " ").encode(), pieces[p])
+        self.b_of_rank = np.array(ids, np.int64)
+        return tiktoken.Encoding("b", pat_str=" *[^ ]+| +", mergeable_ranks=ranks, special_tokens={})
+
+    def encode_a(self, whole: str) -> Sequence[int]:
+        if self.fast is None or _ODD.search(whole):
+            return self.a.encode(whole, add_special_tokens=False).ids
+        return self.fast.encode_ordinary(whole)
+
+    def encode_b(self, whole: str) -> Sequence[int]:
+        """``whole`` begins with the space that B adds itself."""
+        if self.fast_b is None or "  " in whole or _ODD.search(whole):
+            return self.b.encode(whole[1:], num_threads=1)
+        return self.b_of_rank[self.fast_b.encode_ordinary(whole)]
+
+    def spells(self, whole: str, a: Sequence[int], b: Sequence[int]) -> bool:
+        """Whether both token sequences are the bytes of the text."""
+        raw = whole.encode()
+        return all(b"".join(map(own.__getitem__, ids)) == raw for own, ids in ((self.a_bytes, a), (self.b_bytes, b)))
 
 
 def pair(definitions: Broadcast) -> Pair:
@@ -260,17 +308,17 @@ class Aligned:
 
 def align_texts(own: Pair, wholes: list[str]) -> tuple[Aligned, list[bool]]:
     """Aligns texts that begin with the space; and which of them both tokenizers spell."""
-    a_ids, b_ids = own.encode_a(wholes), own.encode_b([w[1:] for w in wholes])
-    spelt = []
-    for i, (whole, a, b) in enumerate(zip(wholes, a_ids, b_ids, strict=True)):
-        raw = whole.encode()
-        same = b"".join(map(own.a_bytes.__getitem__, a)) == raw == b"".join(map(own.b_bytes.__getitem__, b))
-        spelt.append(same)
-        if not same:
-            a_ids[i], b_ids[i] = [], []
+    found = [(np.array(own.encode_a(w), np.int64), np.array(own.encode_b(w), np.int64)) for w in wholes]
+    # The faster library cuts a text's bytes, so what it makes spells the text.
+    checked = own.fast is None or own.fast_b is None
+    spelt = [
+        own.spells(w, a, b) if checked or "  " in w or _ODD.search(w) else True for w, (a, b) in zip(wholes, found, strict=True)
+    ]
+    none = np.empty(0, np.int64)
     out = []
-    for ids, sizes in ((a_ids, own.a_sizes), (b_ids, own.b_sizes)):
-        flat = np.array([x for one in ids for x in one], np.int64)
+    for side, sizes in ((0, own.a_sizes), (1, own.b_sizes)):
+        ids = [one[side] if ok else none for one, ok in zip(found, spelt, strict=True)]
+        flat = np.concatenate([none, *ids])
         out.append((flat, np.cumsum(sizes[flat]), np.array([0, *accumulate(map(len, ids))], np.int64)))
     (a, a_ends, a_at), (b, b_ends, b_at) = out
     return Aligned(a, b, a_ends, b_ends, a_at, b_at), spelt
@@ -427,7 +475,7 @@ def align(
                     chunk.a_at, chunk.b_at = chunk.a_at[kept], chunk.b_at[kept]
                     yield _batch(ids, describe(own, chunk), id_col)
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(tidy(run), schema)
 
 
 def links(
@@ -473,7 +521,7 @@ def links(
                         )
                     a_before, b_before = a_before + len(chunk.a), b_before + len(chunk.b)
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(tidy(run), schema)
 
 
 def pair_counts(pairs: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Alignment against byte by byte comparison; sparse products against dense ones; long texts; hard rows."""
 
 import hashlib
+import random
 
 import numpy as np
 import pytest
@@ -127,11 +128,17 @@ def test_long_texts_are_added_up(own, monkeypatch):
 
 
 def test_both_libraries_encode_alike(own):
-    texts = [" " + t for t in TEXTS if t]
-    assert own.fast is not None
-    assert [list(x) for x in own.encode_a(texts)] == [x.ids for x in own.a.encode_batch(texts, add_special_tokens=False)]
-    for token in own.a_bytes[:256] + own.a_bytes[5000:5400]:
-        assert len(own.fast.encode_ordinary(token.decode(errors="ignore"))) <= max(1, len(token))
+    """The faster library's ids are those of the two tokenizers' own libraries: over texts, every word of both
+    vocabularies, and random strings of plain signs."""
+    assert own.fast is not None and own.fast_b is not None
+    rng = random.Random(8)
+    plain = [c for c in map(chr, range(0x530)) if not alignment._ODD.match(c)]
+    texts = [t for t in TEXTS if t] + ["".join(rng.choices(plain, k=40)) for _ in range(300)]
+    texts += ["".join(rng.choices("aeinrst  \n\u00e9\u00fc.,1", k=200)) for _ in range(300)]
+    for tokens in (own.a_bytes, own.b_bytes):
+        texts += [x for x in (t.decode(errors="ignore") for t in tokens) if x and not alignment._ODD.search(x)]
+    assert [list(own.encode_a(" " + t)) for t in texts] == [x.ids for x in own.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+    assert [list(own.encode_b(" " + t)) for t in texts] == own.b.encode(texts)
 
 
 def test_query_and_hard_rows(spark, documents, tmp_path):
