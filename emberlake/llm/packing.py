@@ -16,13 +16,12 @@ again; a null id stays null; an empty table gives no pieces. A piece over a capa
 
 from __future__ import annotations
 
-import gc
 import json
 import os
 import re
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,16 +29,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberlake.llm.common import fresh
+from emberlake.llm.common import fresh, tidy
 
 SEQUENCE = 4096
 GROUP_PIECES = 8192
-#: Words a worker remembers the ids of (about 100 bytes each); beyond that it starts afresh.
-CACHE_WORDS = 1_000_000
-_CACHED_LENGTH = 48
-#: Text with other characters than these, or not in normal form C, is encoded as a whole. The rest can be
-#: lowered, split at blanks and split again by the tokenizer's own pattern, with the same ids.
-_ODD = re.compile("[^\t\n\r -~\u00a1-\u02ff\u0370-\u03a2\u03a4-\u052f]")
+#: Signs that are split and lowered alike by any version of the character tables.
+_PLAIN = "\t\n\r -~\u00a1-\u02ff\u0370-\u03a2\u03a4-\u052f"
+#: Text with others, or not in normal form C, is encoded by the tokenizer's own library.
+_ODD = re.compile(f"[^{_PLAIN}]")
+#: The split pattern that ``_split`` knows, and its contractions.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_CONTRACTIONS = r"'s|'t|'re|'ve|'m|'ll|'d"
+#: Stands for the end of a word; no plain text holds it.
+_END = "\x01"
 
 _state: dict = {}
 
@@ -54,73 +56,71 @@ def tokenizer_text(path: str | None = None) -> str:
         return file.read()
 
 
+def _split(pattern: str) -> Callable[[str], list[str]]:
+    """All matches of the split pattern in a plain, lowered text."""
+    if pattern != _SPLIT:
+        import regex
+
+        return regex.compile(pattern).findall
+    plain = re.compile(f"[{_PLAIN}]")
+    signs = sorted({x for c in map(chr, range(0x530)) if plain.match(c) for x in c.lower()})
+    letters, numbers = (
+        "".join(re.escape(c) for c in signs if unicodedata.category(c)[0] == kind) for kind in ("L", "N")
+    )
+    return re.compile(rf"{_CONTRACTIONS}|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+").findall
+
+
 class Encoder:
-    """Whole-text ids, with the ids of words and of the pieces that words are split into remembered."""
+    """Whole-text ids. Plain texts are lowered and split here and merged by the faster tiktoken library: a word
+    gets an end sign, which its last byte takes up before all merges, as the vocabulary has word ends."""
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
         rule = json.loads(definition)
-        split = rule["pre_tokenizer"]["pretokenizers"][0]
-        self.split = regex.compile(split["pattern"]["Regex"]).findall
-        suffix = rule["model"]["end_of_word_suffix"]
-        ends = [i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]
-        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        self.ends[ends] = True
         self.special = re.compile("|".join(re.escape(t["content"].lower()) for t in rule["added_tokens"]) or "(?!)").search
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.merge = self._merger(rule)
+        self.split = _split(rule["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
 
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _merger(self, rule: dict):
+        """The merges as ranks for bytes and an end sign, and the id of each rank."""
+        import tiktoken
 
-    def _learn_parts(self, parts: list[str]) -> None:
-        """Parts are encoded many at a time, joined by blanks; each one's ids end with a word end."""
-        for at in range(0, len(parts), 64):
-            some = parts[at : at + 64]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
-            stop = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            if len(stop) == len(some):
-                own = ids.tobytes()
-                self.parts.update((x, own[a:b]) for x, a, b in zip(some, [0, *stop], stop, strict=False))
-            else:
-                self.parts.update((x, self.whole(x)) for x in some)
+        suffix = rule["model"]["end_of_word_suffix"]
+        own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+        signs = {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(sorted({*range(256)} - {*own}))}
+        end = _END.encode()
+
+        def raw(token: str) -> bytes:
+            word = token.removesuffix(suffix)
+            return bytes(signs[c] for c in word) + (end if word != token else b"")
+
+        ranks = {bytes([b]): b for b in range(256)} | {bytes([b]) + end: 256 + b for b in range(256)}
+        for merge in rule["model"]["merges"]:
+            pair = merge if isinstance(merge, list) else merge.split(" ")
+            ranks.setdefault(raw("".join(pair)), len(ranks))
+        self.ids = np.zeros(len(ranks), "<u4")
+        special = {t["content"] for t in rule["added_tokens"]}
+        for token, i in rule["model"]["vocab"].items():
+            if token not in special:
+                self.ids[ranks[raw(token)]] = i
+        return tiktoken.Encoding("words", pat_str=f"[^{_END}]+{_END}", mergeable_ranks=ranks, special_tokens={})
 
-    def _learn_words(self, fresh: list[str]) -> None:
-        split = [self.split(w) for w in fresh]
-        if len(self.parts) > CACHE_WORDS:
-            self.parts = {}
-        self._learn_parts(list({p for parts in split for p in parts}.difference(self.parts)))
-        get = self.parts.__getitem__
-        self.words.update((w, b"".join(map(get, parts))) for w, parts in zip(fresh, split, strict=True))
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.words) > CACHE_WORDS:
-            self.words = {}
-        split, found, fresh = [], [], set()
         for text in texts:
             lower = text.lower()
             if _ODD.search(text) or not unicodedata.is_normalized("NFC", text) or self.special(lower):
-                split.append(None)
-                found.append(None)
-                continue
-            split.append(words := lower.split())
-            found.append(ids := list(map(self.words.get, words)))
-            if None in ids:
-                fresh.update(w for w, known in zip(words, ids, strict=True) if known is None)
-        self._learn_words(list(fresh))
-        for text, words, ids in zip(texts, split, found, strict=True):
-            if words is None:
                 yield self.whole(text)
+            elif words := self.split(lower):
+                yield self.ids[self.merge.encode_ordinary(_END.join(words) + _END)].tobytes()
             else:
-                yield b"".join(map(self.words.__getitem__, words) if None in ids else ids)
-        for word in fresh:
-            if len(word) > _CACHED_LENGTH:
-                del self.words[word]
+                yield b""
 
 
 def _encoder(definition: str) -> Encoder:
@@ -150,9 +150,7 @@ def tokenize_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(definition.value)
-        gc.disable()  # many small lists and no cycles: the collector would only walk them over and over
         for batch in batches:
-            gc.collect()
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 rows, cols = [], [[], [], [], []]
@@ -174,7 +172,7 @@ def tokenize_pieces(
                     names.append("ids")
                 yield pa.record_batch(arrays, names=names)
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(tidy(run), schema)
 
 
 def best_fit(demands: np.ndarray, capacity: np.ndarray, weights: np.ndarray, score: str = "norm") -> tuple[np.ndarray, np.ndarray]:
