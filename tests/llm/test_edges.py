@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from emberlake.llm import htmltext, langid, minhash, packing, ppm, quality, secrets, spotsigs, tiling, urlrules
+from emberlake.llm import alignment, bytebpe, htmltext, langid, minhash, packing, ppm, quality, secrets, spotsigs, tiling, urlrules, whitening
 from emberlake.llm.common import materialize
 
 from .conftest import PROSE, hard_rows
@@ -28,6 +28,9 @@ RUNS = {
     "urls": lambda d: urlrules.judge(d, "text"),
     "ppm": lambda d: ppm.score(d, d),
     "minhash": lambda d: minhash.near_duplicates(d),
+    "alignment": lambda d: alignment.align(d),
+    "bytebpe": lambda d: bytebpe.digests(bytebpe.encode(d)),
+    "whitening": lambda d: whitening.integers(d.withColumn("v", F.array(F.lit(1.0))), "v"),
 }
 
 
@@ -65,3 +68,30 @@ def test_defined_results(documents):
     assert not any(r["contaminated"] for r in clean.values())
     assert {r["doc_id"]: r for r in ppm.score(docs, docs.limit(0)).collect()}[4]["n_tokens"] == 1
     assert PROSE["en"] in secrets.redact(docs, secrets.scan(docs)).filter("doc_id = 1").first()["text"]
+
+
+def test_defined_results_of_empty_and_long_texts(documents):
+    docs = documents(hard_rows())
+
+    def by_id(df):
+        found = {}
+        for r in df.collect():
+            found.setdefault(r["doc_id"], []).append(r)
+        return found
+
+    near = by_id(spotsigs.fingerprint_neighbours(docs))
+    for i in (3, 4):  # null and empty
+        assert near[i][0]["n_chars"] == 0 and near[i][0]["fingerprint"] == "" and near[i][0]["near_edited"] == 1.0
+    assert len(near[2]) == 2 and near[2][0]["fingerprint"] == near[2][1]["fingerprint"] == near[1][0]["fingerprint"] != ""
+    assert near[8][0]["n_chars"] == len(hard_rows()[8][1])
+    scored = by_id(quality.score(docs, quality.train(docs, labels(docs))))
+    assert scored[3][0]["score"] == scored[4][0]["score"] == scored[5][0]["score"] and all(0 <= r["score"] <= 1 for rows in scored.values() for r in rows)
+    main = by_id(htmltext.extract(docs, None, "text", keep=["doc_id"]))
+    assert all(main[i][0]["text"] == "" and main[i][0]["n_chars"] == 0 for i in (3, 4, 5))
+    judged = by_id(urlrules.judge(docs, "text"))
+    assert {(r["host"], r["path"], r["rule"], r["verdict"]) for rows in judged.values() for r in rows} == {("", "", None, "allow")}
+    packed = by_id(packing.pack(materialize(packing.tokenize_pieces(docs))))
+    assert all([(r["piece"], r["start"], r["length"], r["ids"]) for r in packed[i]] == [(0, 0, 1, [1])] for i in (3, 4, 5))
+    long = sorted(packed[8], key=lambda r: r["piece"])
+    assert [r["start"] for r in long] == [4096 * k for k in range(len(long))] and all(r["length"] == 4096 for r in long[:-1])
+    assert len(packed[None]) == 2 and len(packed[2]) == 2
