@@ -30,8 +30,6 @@ Assigned values of fewer than ``MIN_VALUE`` signs, and runs of fewer than 16 tha
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -45,13 +43,14 @@ _NAME = r"(?i:passwd|password|pwd|secret|token|api[_-]?key|access[_-]?key|privat
 _ASSIGN = _NAME + r"""["']?\s{0,8}[:=]\s{0,8}["']?"""
 _BLOCK_HEAD = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
 _BLOCK = _BLOCK_HEAD + r"[\s\S]*?-----END [A-Z ]{0,40}PRIVATE KEY-----"
-#: A sign of a value: a key block begins no value, and ends one.
+#: A sign of a value: a key block begins no value, and ends one. Repeated possessively, as the engine takes that
+#: in a loop, however long a value is, and anything else on its stack.
 _SIGN = rf"""(?:(?!{_BLOCK_HEAD})[^\s"',;])"""
-_RUN = rf"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?:(?!{_BLOCK_HEAD})[A-Za-z0-9+/_=-]){{16,}}"
+_RUN = rf"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?:(?!{_BLOCK_HEAD})[A-Za-z0-9+/_=-]){{16,}}+"
 #: What ends a sentence or a bracket is no part of a value.
 _TAIL = r"[.)\]}>!?:]+$"
 MIN_VALUE = 4
-CANDIDATE = rf"{_BLOCK}|{_ASSIGN}{_SIGN}{{{MIN_VALUE},}}|{_RUN}"
+CANDIDATE = rf"{_BLOCK}|{_ASSIGN}{_SIGN}{{{MIN_VALUE},}}+|{_RUN}"
 #: Signs of the end of a value that it is looked up by, and of a piece of a word that windows are taken from.
 END, PIECE = 32, 4096
 #: Signs before and after a value that are looked at.
@@ -79,7 +78,7 @@ def _bucket(column: Column, n: int) -> Column:
 def _words(docs: DataFrame) -> DataFrame:
     """(doc, start, word, before, after, ends): the words of each text of (doc, text, least, ends) that are long
     enough to hold a value, in document order; a word is a key block or a run of a value's signs."""
-    pattern = F.concat(F.lit(f"{_BLOCK}|{_SIGN}{{"), F.col("least").cast("string"), F.lit(",}"))
+    pattern = F.concat(F.lit(f"{_BLOCK}|{_SIGN}{{"), F.col("least").cast("string"), F.lit(",}+"))
     cut = docs.select(
         "doc", "ends", F.regexp_extract_all("text", pattern, F.lit(0)).alias("words"), F.split("text", pattern, -1).alias("gaps")
     )
@@ -249,100 +248,119 @@ def fixtures(spark: SparkSession, common: list[str], n: int = FIXTURES) -> DataF
     are drawn by hash, so they are the same each time for the same ``common`` words."""
 
     def number(salt: str, below: int) -> Column:
-        return F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(below))
-
-    def one(options: list[str], salt: str) -> Column:
-        return F.element_at(F.array(*map(F.lit, options)), (number(salt, len(options)) + 1).cast("int"))
+        return F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(below)).cast("int")
 
-    def word(salt: str) -> Column:
-        return one(common, f"word {salt}")
+    def one(options: list, salt: str) -> Column:
+        return F.element_at(F.array(*(x if isinstance(x, Column) else F.lit(x) for x in options)), number(salt, len(options)) + 1)
 
     def join(*parts: Column | str) -> Column:
         return F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
 
-    def hexes(salt: str, *sizes: int) -> Column:
-        both = join(F.sha2(join(F.col("id").cast("string"), salt), 256), F.sha2(join(F.col("id").cast("string"), salt, "2"), 256))
-        return F.left(both, F.element_at(F.array(*map(F.lit, sizes)), (number(f"size {salt}", len(sizes)) + 1).cast("int")))
-
-    def mixed(salt: str, least: int, most: int, plain: str = "wXz") -> Column:
-        raw = F.unhex(join(F.sha2(join(F.col("id").cast("string"), salt), 256), F.sha2(join(F.col("id").cast("string"), salt, "3"), 256)))
-        return F.left(F.translate(F.base64(raw), "+/=", plain), (least + number(f"size {salt}", most - least + 1)).cast("int"))
+    def size(least: int, most: int, salt: str) -> Column:
+        return F.lit(least) + number(salt, most - least + 1)
 
-    def digits(salt: str, least: int, most: int) -> Column:
-        raw = F.translate(F.sha2(join(F.col("id").cast("string"), salt), 512), "abcdef", "")
-        return F.left(raw, (least + number(f"size {salt}", most - least + 1)).cast("int"))
+    def digest(salt: str) -> Column:
+        return F.sha2(join(F.col("id").cast("string"), salt), 512)
 
     names = [
         "password", "passwd", "pwd", "secret", "client_secret", "token", "access_token", "api_key", "apikey",
         "access-key", "private_key", "auth", "credentials", "TOKEN", "PASSWORD", "API_KEY", "Secret", "authToken",
     ]
     marks = [' = "', '="', ": ", "=", "': '", '": "', " = ", ":"]
-    prose = join(word("a"), " ", word("b"), one([" ", ", ", ". ", "\n"], "stop"), word("c"))
-    assigned = join(prose, " ", one(names, "name"), one(marks, "mark"))
-    bare = join(prose, one([" ", " ", "\n", ": ", " ("], "bare"))
-    digest = join(prose, " ", one(["commit ", "revision ", "sha256 ", "sha1: ", "md5 ", "checksum ", "etag=", "build ", "id ", "digest "], "digest"))
-    upper = F.upper(mixed("format", 16, 16, "X7Q"))
-    formats = F.element_at(
-        F.array(
-            join(one(["AKIA", "ASIA"], "aws"), upper),
-            join(one(["ghp_", "gho_", "ghs_"], "hub"), mixed("hub", 36, 36)),
-            join("AIza", mixed("maps", 35, 35, "_-b")),
-            join(one(["xoxb-", "xoxp-"], "chat"), digits("chat", 11, 11), "-", mixed("chat", 24, 24)),
-        ),
-        (number("format", 4) + 1).cast("int"),
+    cues = ["commit ", "revision ", "sha256 ", "sha1: ", "md5 ", "checksum ", "etag=", "build ", "id ", "digest "]
+    paths = ["", "src0", "web", "crawl/page", "repo/src/main.py", "conf/app.yml", "notes.txt", "tests/unit.py", "docs/example.md"]
+    # What findings are made of: random signs of several alphabets, words, and the text around.
+    raw = spark.range(n).select(
+        "id",
+        digest("hex").alias("hex"),
+        F.translate(digest("digits"), "abcdef", "").alias("digits"),
+        F.base64(F.unhex(digest("base"))).alias("base"),
+        *(one(common, f"word {w}").alias(w) for w in "abcdefgh"),
+        join(one(names, "name"), one(marks, "mark")).alias("assign"),
+        F.upper(one(names, "own")).alias("own"),
+        one(paths, "path").alias("path"),
+        one(['" ', "' ", " ", "\n", "", ") "], "close").alias("close"),
+        one([" ", ", ", ". ", "\n"], "stop").alias("stop"),
+    )
+    parts = raw.select(
+        "*",
+        F.translate("base", "+/=", "wXz").alias("mixed"),
+        F.translate(F.substring("base", 20, 60), "+/=", "wXz").alias("more"),
+        join(F.col("a"), " ", F.col("b"), F.col("stop"), F.col("c")).alias("prose"),
+        F.lower("d").alias("x"),
+        F.lower("e").alias("y"),
+        F.upper("d").alias("U"),
     )
-    block = join("-----BEGIN ", one(["RSA ", "EC ", ""], "kind"), "PRIVATE KEY-----\n", mixed("block", 60, 80), "\n-----END PRIVATE KEY-----")
-    lower = F.lower
-    placeholder = F.element_at(
-        F.array(
-            join("your_", lower(word("d")), "_here_", digits("p", 1, 2)),
-            join("${", F.upper(word("d")), "_", F.upper(word("e")), digits("p", 1, 1), "}"),
-            join(one(["${", "$", "%{", "{{"], "open"), F.upper(word("d")), "_", F.upper(one(names, "own")), digits("p", 1, 1)),
-            join("<", lower(word("d")), "-", lower(word("e")), "-", digits("p", 1, 2), ">"),
-            join(F.repeat(one(["x", "X", "*", "0"], "fill"), 12), digits("p", 1, 1)),
-            join("changeme", digits("p", 1, 4)),
-            join("example-", lower(word("d")), "-", digits("p", 1, 3)),
-            join("os.environ[", lower(word("d")), digits("p", 1, 1), "]"),
-            join("get_", lower(word("d")), "_", lower(word("e")), "(", digits("p", 1, 1), ")"),
-        ),
-        (number("placeholder", 9) + 1).cast("int"),
+    col = F.col
+    some = F.left(col("digits"), size(1, 3, "some"))
+    formats = one(
+        [
+            join(one(["AKIA", "ASIA"], "aws"), F.upper(F.left("more", F.lit(16)))),
+            join(one(["ghp_", "gho_", "ghs_"], "hub"), F.left("mixed", F.lit(36))),
+            join("AIza", F.left("mixed", F.lit(35))),
+            join(one(["xoxb-", "xoxp-"], "chat"), F.left("digits", F.lit(11)), "-", F.left("mixed", F.lit(24))),
+        ],
+        "format",
     )
-    named = join(lower(word("d")), one(["_", "-", "/", "."], "glue"), lower(word("e")), one(["_", "-", "/", "="], "glue2"), digits("n", 1, 6))
-    uuid = F.regexp_replace(hexes("uuid", 32), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    placeholder = one(
+        [
+            join("your_", col("x"), "_here_", some),
+            join("${", col("U"), "_", F.upper("e"), some, "}"),
+            join(one(["${", "$", "%{", "{{"], "open"), col("U"), "_", col("own"), some),
+            join("<", col("x"), "-", col("y"), "-", some, ">"),
+            join(F.repeat(one(["x", "X", "*", "0"], "fill"), F.lit(12)), some),
+            join("changeme", some),
+            join("example-", col("x"), "-", some),
+            join("os.environ[", col("x"), some, "]"),
+            join("get_", col("x"), "_", col("y"), "(", some, ")"),
+        ],
+        "placeholder",
+    )
+    named = join(col("x"), one(["_", "-", "/", "."], "glue"), col("y"), one(["_", "-", "/", "="], "glue2"), F.left("digits", size(1, 6, "named")))
+    block = join("-----BEGIN ", one(["RSA ", "EC ", ""], "kind"), "PRIVATE KEY-----\n", col("base"), "\n-----END PRIVATE KEY-----")
+    uuid = F.regexp_replace(F.left("hex", F.lit(32)), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    plain = one([F.left("digits", size(4, 16, "number")), join("20", F.left("digits", F.lit(6))), col("g")], "plain")
+    keys = [F.left("hex", one([20, 32, 40, 64], "hex size")), F.left("mixed", size(12, 44, "key")), F.left("base", size(22, 60, "base"))]
+    word_sign = join(F.left("mixed", size(4, 8, "pass")), one(["!", "$", "#", "@", "%", "-", "_"], "sign"), F.left("digits", size(2, 5, "tail")))
+    assigned = join(col("prose"), " ", col("assign"))
+    bare = join(col("prose"), one([" ", " ", "\n", ": ", " ("], "bare"))
+    bearer = join(col("prose"), one([" Bearer ", " bearer ", " key ", " api key "], "bearer"))
     kinds: list[tuple[float, Column, Column]] = [
-        (1.0, assigned, hexes("key", 32, 40, 64, 20)),
-        (1.0, assigned, mixed("key", 12, 44)),
-        (1.0, assigned, mixed("base", 22, 60, "+/=")),
-        (1.0, assigned, join(mixed("pass", 4, 8), one(["!", "$", "#", "@", "%", "-", "_"], "sign"), digits("pass", 2, 5))),
+        (1.0, assigned, keys[0]),
+        (1.0, assigned, keys[1]),
+        (1.0, assigned, keys[2]),
+        (1.0, assigned, word_sign),
         (1.0, assigned, formats),
         (1.0, bare, formats),
-        (1.0, join(prose, one([" Bearer ", " bearer ", " key ", " api key "], "bearer")), mixed("bearer", 24, 48)),
+        (1.0, bearer, F.left("mixed", size(24, 48, "bearer"))),
         (1.0, one([" ", "\n", " key = "], "place"), block),
-        (0.0, bare, digits("card", 16, 20)),
-        (0.0, digest, hexes("digest", 32, 40, 64)),
-        (0.0, bare, hexes("bare", 20, 32, 40, 64)),
-        (0.0, join(prose, one([" ", " id=", " user "], "uuid")), uuid),
-        (0.0, bare, join(named, "-", word("f"), digits("m", 2, 4))),
+        (0.0, bare, F.left("digits", size(16, 20, "card"))),
+        (0.0, join(col("prose"), " ", one(cues, "cue")), F.left("hex", one([32, 40, 64], "digest"))),
+        (0.0, bare, F.left("hex", one([20, 32, 40, 64], "bare hex"))),
+        (0.0, join(col("prose"), one([" ", " id=", " user "], "uuid")), uuid),
+        (0.0, bare, join(named, "-", col("f"), F.left("digits", size(2, 4, "tail 2")))),
+        (0.0, assigned, placeholder),
         (0.0, assigned, placeholder),
         (0.0, assigned, placeholder),
-        (0.0, join(prose, " ", one(names, "name"), one(marks, "mark")), placeholder),
         (0.0, assigned, named),
-        (0.0, assigned, F.element_at(F.array(digits("number", 4, 16), join("20", digits("day", 6, 6)), word("g")), (number("plain", 3) + 1).cast("int"))),
-    ]
-    paths = ["", "src0", "web", "crawl/page", "repo/src/main.py", "conf/app.yml", "notes.txt", "tests/unit.py", "docs/example.md"]
-    after = join(one(['" ', "' ", " ", "\n", "", ") "], "close"), word("h"), " ", word("i"))
-    every = spark.range(n)
-    drawn = [
-        every.filter(F.col("id") % len(kinds) == k).select(
-            one(paths, "path").alias("path"),
-            F.regexp_replace(value, _TAIL, "").alias("value"),
-            F.right(before, F.lit(BEFORE)).alias("before"),
-            F.left(after, F.lit(AFTER)).alias("after"),
-            F.lit(label).alias("label"),
-        )
-        for k, (label, before, value) in enumerate(kinds)
+        (0.0, assigned, plain),
     ]
-    return materialize(reduce(DataFrame.unionByName, drawn).coalesce(8))
+    kind = F.col("id") % len(kinds)
+
+    def chosen(i: int) -> Column:
+        out = F.lit(None)
+        for k, made in reversed(list(enumerate(kinds))):
+            out = F.when(kind == k, made[i]).otherwise(out)
+        return out
+
+    made = parts.select(
+        "path",
+        F.regexp_replace(chosen(2), _TAIL, "").alias("value"),
+        F.right(chosen(1), F.lit(BEFORE)).alias("before"),
+        F.left(join(col("close"), col("g"), " ", col("h")), F.lit(AFTER)).alias("after"),
+        F.when(kind.isin([k for k, x in enumerate(kinds) if x[0]]), 1.0).otherwise(0.0).alias("label"),
+    )
+    return materialize(made)
 
 
 def train_forest(labelled: DataFrame, trees: int = TREES, depth: int = DEPTH, max_train: int = MAX_TRAIN) -> PipelineModel | None:
@@ -411,7 +429,7 @@ def masked(docs: DataFrame, mask: str = MASK) -> DataFrame:
     """(doc, masked): the texts of (doc, text, values) with every place of the values replaced. In a word the
     longest values are replaced first, as a value may be part of another."""
     least = F.array_min(F.transform("values", F.length))
-    pattern = F.concat(F.lit(f"{_BLOCK}|{_SIGN}{{"), least.cast("string"), F.lit(",}"))
+    pattern = F.concat(F.lit(f"{_BLOCK}|{_SIGN}{{"), least.cast("string"), F.lit(",}+"))
     cut = docs.select("doc", F.regexp_extract_all("text", pattern, F.lit(0)).alias("words"), F.split("text", pattern, -1).alias("gaps"))
     part = F.transform("gaps", lambda g, i: F.struct(i.alias("at"), g.alias("gap"), F.coalesce(F.get("words", i), F.lit("")).alias("word")))
     parts = cut.select("doc", F.inline(part))
