@@ -19,7 +19,6 @@ columns are not looked at.
 
 from __future__ import annotations
 
-import hashlib
 import json
 import os
 import re
@@ -34,7 +33,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlake.llm.common import materialize, text_slices, tidy
+from emberlake.llm.common import kept, materialize, text_slices, tidy
 
 #: Characters of a long text that are aligned together.
 CHUNK = 1 << 19
@@ -49,8 +48,6 @@ _EDGE = re.compile(f"(?<=[^{_BLANKS}]) (?=[^{_BLANKS}])")
 #: Texts of these characters alone are split alike by any version of the character classes.
 _ODD = re.compile("[^\t\n\r -~¡-˿Ͱ-ͳͶͷͻ-Ϳ΄-ΊΎ-ΡΣ-ԯ]")
 
-_state: dict = {}
-
 
 # ---- sparse products ----
 
@@ -254,11 +251,7 @@ class Pair:
 
 def pair(definitions: Broadcast) -> Pair:
     """One pair a worker process."""
-    a, b = definitions.value
-    key = hashlib.sha256(a + b).digest()
-    if _state.get("key") != key:
-        _state.update(key=key, pair=Pair(a, b))
-    return _state["pair"]
+    return kept(__name__, definitions.value, lambda: Pair(*definitions.value))
 
 
 # ---- one chunk of texts ----

@@ -27,7 +27,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlake.llm.common import text_slices
+from emberlake.llm.common import kept, text_slices, tidy
 
 #: Signs of a text that are encoded together.
 SEGMENT = 1 << 16
@@ -42,8 +42,6 @@ WHITE = "".join(map(chr, [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000
 _RUN = re.compile(f"[{WHITE}]{{{LONG_RUN},}}")
 _EDGE = re.compile(f"(?<=[^{WHITE}])(?=[{WHITE}])")
 
-_state: dict = {}
-
 
 def ranks_text(path: str | None = None) -> bytes:
     """The rank file; by default the public one for many languages."""
@@ -105,11 +103,7 @@ class Coder:
 
 def coder(definition: Broadcast) -> Coder:
     """One coder a worker process, whatever the number of its tasks."""
-    text = definition.value
-    key = hashlib.sha256(text).digest()
-    if _state.get("key") != key:
-        _state.update(key=key, coder=Coder(text))
-    return _state["coder"]
+    return kept(__name__, (definition.value,), lambda: Coder(definition.value))
 
 
 def _ranks(spark: SparkSession, ranks_path: str | None) -> Broadcast:
@@ -134,7 +128,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rank
                     names=[id_col, "ids"],
                 )
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {id_type}, ids array<int>")
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(tidy(run), f"`{id_col}` {id_type}, ids array<int>")
 
 
 def _rows_of_ids(column: pa.Array) -> Iterator[tuple[int, int | None]]:
@@ -169,7 +163,7 @@ def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", ran
                 yield pa.record_batch([part.column(0), pa.array(out, pa.binary())], names=[id_col, "bytes"])
 
     rows = encoded.select(F.col(id_col), F.col(ids_col).cast("array<int>"))
-    return rows.mapInArrow(run, f"`{id_col}` {id_type}, bytes binary")
+    return rows.mapInArrow(tidy(run), f"`{id_col}` {id_type}, bytes binary")
 
 
 def digests(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", ranks_path: str | None = None) -> DataFrame:
@@ -203,4 +197,4 @@ def digests(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", ra
             )
 
     rows = encoded.select(F.col(id_col), F.col(ids_col).cast("array<int>"))
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)

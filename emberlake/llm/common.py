@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import hashlib
 from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +20,8 @@ BLANK = r"[\x20\x09-\x0D]+"
 #: Bytes of text that the numpy helpers look at together.
 SLICE_BYTES = 1 << 20
 
+T = TypeVar("T")
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BASE = 0x9E3779B97F4A7C15 | 1
 
@@ -55,6 +59,17 @@ def drop_ids(rows: DataFrame, judged: DataFrame, stays: str, id_col: str = "doc_
     return rows.join(gone, F.col(id_col).eqNullSafe(F.col(name)), "left_anti")
 
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_kept: dict = {}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Rows go to Python workers in batches of 4 MB, unless the session says otherwise than Spark's 64 MB: a
+    task holds several copies of a batch, in the JVM and in Python, and the operators cut it smaller still."""
+    if spark.conf.get(_BATCH_BYTES, None) in (None, "64m", "67108864", "67108864b"):
+        spark.conf.set(_BATCH_BYTES, "4m")
+
+
 def release() -> None:
     """Gives freed memory of this process back to the system. Workers live on from task to task, and what the
     allocators keep of one stage would be added to the next one's."""
@@ -66,10 +81,23 @@ def release() -> None:
         pass
 
 
+def kept(owner: str, definition: tuple[bytes, ...], make: Callable[[], T]) -> T:
+    """What ``make`` makes of a definition, kept in the worker for the next tasks of the same operator."""
+    key = (owner, hashlib.sha256(b"".join(definition)).digest())
+    if _kept.get("key") != key:
+        _kept.clear()
+        _kept.update(key=key, value=make())
+    return _kept["value"]
+
+
 def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
-    """``run``, with the worker's freed memory given back at the end of each task."""
+    """``run``, with the worker's freed memory given back at the end of each task, and what another operator
+    has kept dropped before it."""
+    owner = run.__module__
 
     def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if _kept and _kept["key"][0] != owner:
+            _kept.clear()
         try:
             yield from run(batches)
         finally:

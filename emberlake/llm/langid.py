@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberlake.llm.common import ascii_lower, materialize, mix64, text_slices
+from emberlake.llm.common import ascii_lower, materialize, mix64, text_slices, tidy
 
 UNKNOWN = "und"
 BINS_BITS = 16
@@ -108,7 +108,7 @@ def trigram_counts(docs: DataFrame, text_col: str, declared_col: str) -> DataFra
         yield from passed_on()
 
     rows = docs.select(_declared(F.col(declared_col)).alias("language"), F.col(text_col).alias("text")).filter("language IS NOT NULL")
-    return rows.mapInArrow(count, "language string, bin int, n long").groupBy("language", "bin").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(tidy(count), "language string, bin int, n long").groupBy("language", "bin").agg(F.sum("n").alias("n"))
 
 
 def _with_enough(counts: DataFrame, min_trigrams: int) -> list[str]:
@@ -177,7 +177,7 @@ def _likelihoods(parts: DataFrame, model: np.ndarray, first: int) -> DataFrame:
             )
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in parts.schema.fields[:-1])
-    return parts.mapInArrow(score, f"{fields}, grams long, at array<int>, logs array<double>")
+    return parts.mapInArrow(tidy(score), f"{fields}, grams long, at array<int>, logs array<double>")
 
 
 def host_of_address(address: Column) -> Column:

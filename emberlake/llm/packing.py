@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberlake.llm.common import fresh, tidy
+from emberlake.llm.common import fresh, kept, tidy
 
 SEQUENCE = 4096
 GROUP_PIECES = 8192
@@ -43,8 +43,6 @@ _CONTRACTIONS = r"'s|'t|'re|'ve|'m|'ll|'d"
 #: Stands for the end of a word; no plain text holds it.
 _END = "\x01"
 
-_state: dict = {}
-
 
 def tokenizer_text(path: str | None = None) -> str:
     """The tokenizer's file; by default the public 49k word BPE."""
@@ -123,13 +121,6 @@ class Encoder:
                 yield b""
 
 
-def _encoder(definition: str) -> Encoder:
-    key = hash(definition)
-    if _state.get("key") != key:
-        _state.update(key=key, encoder=Encoder(definition))
-    return _state["encoder"]
-
-
 def tokenize_pieces(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -149,7 +140,7 @@ def tokenize_pieces(
     width = 4 * sequence
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(definition.value)
+        encoder = kept(__name__, (definition.value.encode(),), lambda: Encoder(definition.value))
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
