@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberlake.llm import langid, minhash, packing, secrets, tiling
-from emberlake.llm.common import drop_ids, materialize, read_table
+from emberlake.llm.common import drop_ids, materialize, read_table, small_batches
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known."""
+    small_batches(spark)  # holds for the stages behind this one too
     return drop_ids(docs, langid.identify(docs), "accepted")
 
 
