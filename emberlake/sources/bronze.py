@@ -7,6 +7,7 @@ or be there in addition. Landed rows keep every column of their source.
 from __future__ import annotations
 
 import datetime as dt
+import math
 import uuid
 from collections.abc import Sequence
 from functools import partial, reduce
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from emberlake.functions.parsing import wall_clock
 from emberlake.schema import BRONZE_COLUMNS, DATE_COLUMNS
 from emberlake.sources.files import data_files, first_line, hadoop_path, side_by_side
-from emberlake.sources.lake import date_leaves, write_dates
+from emberlake.sources.lake import date_leaves, rows_together, write_dates
 
 # Values keep their blanks; Spark's CSV writer would trim them otherwise.
 _CSV_WRITE = {
@@ -25,7 +26,11 @@ _CSV_WRITE = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
+# A snapshot lies in the lake once for each date.
+_LAYOUT_WRITE = {"snapshot": {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}}
 LAYOUTS = ("snapshot", "by_date")
+# Dates of a file that get tasks of their own; a month has no more.
+_MAX_COPIES = 31
 
 
 def _by_header(spark: SparkSession, files: Sequence[str]) -> list[list[str]]:
@@ -48,7 +53,9 @@ def _scan(
     frames = []
     for group in _by_header(spark, files):
         df = reader.csv([hadoop_path(spark, f).toString() for f in group])
-        own = [F.col(f"`{c}`").alias(usual.get(c.lower(), c)) for c in df.columns]
+        # Renamed only where the name differs: else Spark sees one scan, used twice in a plan, as two.
+        names = {c: usual.get(c.lower(), c) for c in df.columns}
+        own = [F.col(f"`{c}`") if c == name else F.col(f"`{c}`").alias(name) for c, name in names.items()]
         frames.append(df.select(*own, *([F.col("_metadata.file_path").alias(file_as)] if file_as else [])))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None
 
@@ -109,6 +116,21 @@ def _routed(raw: DataFrame, dates: Column, layout: str) -> DataFrame:
     return raw.withColumn("DATREF", F.when(F.array_contains(dates, own), own).otherwise(F.array_max(dates)))
 
 
+def _copied(raw: DataFrame, days: str, most: int) -> DataFrame:
+    """As ``_routed`` for ``snapshot``, for rows that have just been shuffled and have at most ``most`` dates in ``days``.
+
+    Each date of a file is a branch that reads the shuffled rows once more, so they are kept once and not once a
+    date, and no task sorts more rows than it has read. Beyond ``_MAX_COPIES`` a branch takes several dates.
+    """
+    width = math.ceil(most / _MAX_COPIES)
+    # Outer, as Spark would push what it infers of an inner one below the shuffle, which then differed by branch.
+    parts = [
+        raw.withColumn("DATREF", F.explode_outer(F.slice(days, start, width))).where("DATREF IS NOT NULL")
+        for start in range(1, most + 1, width)
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
 def land(
     spark: SparkSession,
     source: str,
@@ -121,7 +143,8 @@ def land(
     All months are one scan for each header that their files have: the months' listings say which dates a
     file is for, and each row is sent to the dates of its file. What a date holds depends on ``layout`` alone, not
     on the other dates of the call. ``compact=False`` saves the shuffle that brings a date's rows together in
-    few files."""
+    few files; that of a ``snapshot`` is made before its rows are copied to their dates, of which each gets files of
+    its own, compressed."""
     months: dict[str, list[str]] = {}
     for date in sorted(set(dates)):
         months.setdefault(month_path(source, date), []).append(f"{date:%Y%m%d}")
@@ -135,13 +158,19 @@ def land(
     raw = _needed(raw, ", ".join(months), [file_as], all_columns=True)
     # One entry for each file that was listed just now.
     days = spark.createDataFrame([(f, sorted(d)) for f, d in own.items()], f"{file_as} string, {days_as} array<string>")
-    rows = _routed(raw.join(F.broadcast(days), file_as), F.col(days_as), layout).drop(file_as, days_as)
+    raw = raw.join(F.broadcast(days), file_as).drop(file_as)
+    if layout == "snapshot" and compact:
+        raw = rows_together(raw, [days_as], len(months))
+        rows, compact = _copied(raw, days_as, max(map(len, own.values()))), False
+    else:
+        rows = _routed(raw, F.col(days_as), layout)
+    rows = rows.drop(days_as)
     write_dates(
         rows,
         table,
         dates,
         columns=[c for c in rows.columns if c != "DATREF"],
         fmt="csv",
-        options=_CSV_WRITE,
+        options=_CSV_WRITE | _LAYOUT_WRITE.get(layout, {}),
         compact=compact,
     )

@@ -142,7 +142,7 @@ def write_dates(
         F.substring("DATREF", 7, 2).alias("extract_day"),
     )
     if compact:
-        placed = _by_date(placed, len(dates))
+        placed = rows_together(placed, DATE_COLUMNS, len(dates))
     if order_by:
         placed = placed.sortWithinPartitions(*DATE_COLUMNS, *order_by)
     with _staging(spark, table) as staged:
@@ -217,11 +217,12 @@ def _swap_in(spark: SparkSession, staged: str, table: str, leaves: Sequence[str]
     side_by_side(swap, leaves)
 
 
-def _by_date(placed: DataFrame, dates: int) -> DataFrame:
-    conf = placed.sparkSession.conf
+def rows_together(rows: DataFrame, keys: Sequence[str], groups: int) -> DataFrame:
+    """Rows of equal ``keys`` in few tasks, as ``write_dates`` says of dates; ``groups`` is about how many keys there are."""
+    conf = rows.sparkSession.conf
     asked = int(conf.get("spark.sql.shuffle.partitions"))
-    partitions = min(max(asked, _PARTITIONS_PER_DATE * dates), _MAX_PARTITIONS)
+    partitions = min(max(asked, _PARTITIONS_PER_DATE * groups), _MAX_PARTITIONS)
     if conf.get("spark.sql.adaptive.enabled") == "true":
-        return placed.hint("rebalance", partitions, *DATE_COLUMNS)
+        return rows.hint("rebalance", partitions, *keys)
     salt = (F.rand(1) * _SALTS).cast("int")
-    return placed.withColumn("_salt", salt).repartition(partitions, *DATE_COLUMNS, "_salt").drop("_salt")
+    return rows.withColumn("_salt", salt).repartition(partitions, *keys, "_salt").drop("_salt")

@@ -376,6 +376,50 @@ def test_a_file_lands_under_the_dates_of_its_month(spark, lake, tmp_path):
     assert counts["by_date"] == {"1004": 1, "1005": 11, "1102": 1}
 
 
+def shuffle_files(spark):
+    """The shuffle files that the session holds now, and their bytes."""
+    folders = spark._jsc.sc().env().blockManager().diskBlockManager().localDirs()
+    return {f: f.stat().st_size for folder in folders for f in Path(folder.getPath()).glob("*/shuffle_*.data")}
+
+
+def test_a_snapshot_is_shuffled_once_and_lands_compressed(spark, lake, tmp_path):
+    """Whatever the number of its dates, each of which holds all rows."""
+    names = HEADER.split(",")
+    row = dict(zip(names, ROWS.splitlines()[0].split(",")))
+    lines = [",".join((row | {"id": f"{n}", "lat": f"-{n * 7919 % 3300 / 100}"}).values()) for n in range(20_000)]
+    source = tmp_path / "202410.csv"
+    source.write_text("\n".join([HEADER, *lines]) + "\n", encoding="utf-8")
+    written = {}
+    for days in (1, 31):
+        before = shuffle_files(spark)
+        dates = [dt.date(2024, 10, 1 + n) for n in range(days)]
+        jobs.bronze_job(spark, lake, str(tmp_path / "{month}.csv"), dates)
+        written[days] = sum(size for file, size in shuffle_files(spark).items() if file not in before)
+    assert 0 < written[31] <= 2 * written[1]
+    landed = read_bronze(spark, lake.bronze, dates).groupBy("extract_day")
+    counts = landed.agg(F.count("*").alias("n"), F.countDistinct("id", "lat").alias("k")).collect()
+    assert sorted((r.extract_day, r.n, r.k) for r in counts) == [(f"{n:02}", 20_000, 20_000) for n in range(1, 32)]
+    size = sum(f.stat().st_size for f in Path(lake.bronze).rglob("part-*"))
+    assert size < 31 * source.stat().st_size / 3
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_a_file_for_more_dates_than_a_month_has(spark, lake, month_csv, adaptive):
+    """A source without a month in its path is for all dates."""
+    dates = [DAY + dt.timedelta(days=n) for n in range(70)]
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        jobs.bronze_job(spark, lake, month_csv.replace("{month}", "202410"), dates)
+        rows = read_bronze(spark, lake.bronze, dates).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    found = {}
+    for r in rows:
+        found.setdefault(f"{r.extract_year}{r.extract_month}{r.extract_day}", []).append(tuple(r[c] for c in BRONZE_COLUMNS))
+    whole = sorted(map(tuple, read_raw(spark, month_csv.replace("{month}", "202410")).collect()), key=str)
+    assert {day: sorted(some, key=str) for day, some in found.items()} == {f"{d:%Y%m%d}": whole for d in dates}
+
+
 def emptied(spark, lake, month_csv):
     """A lake of two dates whose source then loses the second."""
     jobs.daily_chain(spark, lake, month_csv, [DAY4, DAY], VERSION)
