@@ -7,6 +7,7 @@ or be there in addition. Landed rows keep every column of their source.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import math
 import uuid
 from collections.abc import Sequence
@@ -27,7 +28,7 @@ _CSV_WRITE = {
     "ignoreTrailingWhiteSpace": "false",
 }
 # A snapshot lies in the lake once for each date.
-_LAYOUT_WRITE = {"snapshot": {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}}
+_LAYOUT_WRITE = {"snapshot": {"compression": "gzip", "zlib.compress.level": "FIVE"}}
 LAYOUTS = ("snapshot", "by_date")
 # Dates of a file that get tasks of their own; a month has no more.
 _MAX_COPIES = 31
@@ -116,18 +117,20 @@ def _routed(raw: DataFrame, dates: Column, layout: str) -> DataFrame:
     return raw.withColumn("DATREF", F.when(F.array_contains(dates, own), own).otherwise(F.array_max(dates)))
 
 
-def _copied(raw: DataFrame, days: str, most: int) -> DataFrame:
-    """As ``_routed`` for ``snapshot``, for rows that have just been shuffled and have at most ``most`` dates in ``days``.
+def _copied(raw: DataFrame, file_set: str, dates: Sequence[Sequence[str]]) -> DataFrame:
+    """As ``_routed`` for ``snapshot``, for rows that have just been shuffled: those with n in ``file_set`` are for ``dates[n]``.
 
     Each date of a file is a branch that reads the shuffled rows once more, so they are kept once and not once a
-    date, and no task sorts more rows than it has read. Beyond ``_MAX_COPIES`` a branch takes several dates.
+    date, and no task sorts more rows than it has read. The dates are part of the plan and not of the rows, which
+    so stay small. Beyond ``_MAX_COPIES`` a branch takes several dates.
     """
+    most = max(map(len, dates))
     width = math.ceil(most / _MAX_COPIES)
-    # Outer, as Spark would push what it infers of an inner one below the shuffle, which then differed by branch.
-    parts = [
-        raw.withColumn("DATREF", F.explode_outer(F.slice(days, start, width))).where("DATREF IS NOT NULL")
-        for start in range(1, most + 1, width)
-    ]
+    parts = []
+    for start in range(0, most, width):
+        some = F.from_json(F.lit(json.dumps([d[start : start + width] for d in dates])), "array<array<string>>")
+        # Outer, as Spark would push what it infers of an inner one below the shuffle, which then differed by branch.
+        parts.append(raw.withColumn("DATREF", F.explode_outer(F.get(some, file_set))).where("DATREF IS NOT NULL"))
     return reduce(DataFrame.unionAll, parts)
 
 
@@ -156,14 +159,19 @@ def land(
     file_as, days_as = (f"_{name}_{uuid.uuid4().hex}" for name in ("file", "days"))
     raw = _scan(spark, sorted(own), file_as=file_as)
     raw = _needed(raw, ", ".join(months), [file_as], all_columns=True)
-    # One entry for each file that was listed just now.
-    days = spark.createDataFrame([(f, sorted(d)) for f, d in own.items()], f"{file_as} string, {days_as} array<string>")
-    raw = raw.join(F.broadcast(days), file_as).drop(file_as)
+    days = {file: tuple(sorted(d)) for file, d in own.items()}
+
+    def with_days(values: dict, kind: str) -> DataFrame:
+        """One entry for each file that was listed just now."""
+        entries = spark.createDataFrame(list(values.items()), f"{file_as} string, {days_as} {kind}")
+        return raw.join(F.broadcast(entries), file_as).drop(file_as)
+
     if layout == "snapshot" and compact:
-        raw = rows_together(raw, [days_as], len(months))
-        rows, compact = _copied(raw, days_as, max(map(len, own.values()))), False
+        sets = {d: n for n, d in enumerate(sorted(set(days.values())))}
+        together = rows_together(with_days({f: sets[d] for f, d in days.items()}, "int"), [days_as], len(months))
+        rows, compact = _copied(together, days_as, list(sets)), False
     else:
-        rows = _routed(raw, F.col(days_as), layout)
+        rows = _routed(with_days(days, "array<string>"), F.col(days_as), layout)
     rows = rows.drop(days_as)
     write_dates(
         rows,

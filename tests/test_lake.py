@@ -403,6 +403,31 @@ def test_a_snapshot_is_shuffled_once_and_lands_compressed(spark, lake, tmp_path)
     assert size < 31 * source.stat().st_size / 3
 
 
+def test_the_dates_of_a_snapshot_stay_out_of_its_shuffle_and_its_files_are_small(spark, lake, tmp_path):
+    """Files of two months, one with more dates than the other, of rows that a fast compressor leaves large."""
+    names = HEADER.split(",")
+    row = dict(zip(names, ROWS.splitlines()[0].split(",")))
+    texts = {}
+    for month in ("202410", "202411"):
+        own = [{"id": f"{month}{n}", "lat": f"-{n * 7919 % 3300 / 100}", "frp": f"{n * n % 9973 / 10}"} for n in range(20_000)]
+        texts[month] = "\n".join([HEADER, *(",".join((row | some).values()) for some in own)]) + "\n"
+        (tmp_path / f"{month}.csv").write_text(texts[month], encoding="utf-8")
+    written = {}
+    for days in (1, 30):
+        before = shuffle_files(spark)
+        dates = [dt.date(2024, 10, 1 + n) for n in range(days)] + [dt.date(2024, 11, 1)]
+        jobs.bronze_job(spark, lake, str(tmp_path / "{month}.csv"), dates)
+        written[days] = sum(size for file, size in shuffle_files(spark).items() if file not in before)
+    assert 0 < written[30] <= 1.01 * written[1]
+    ids = read_bronze(spark, lake.bronze, dates).withColumn("month", F.substring("id", 1, 6))
+    counts = ids.groupBy("extract_month", "extract_day", "month").agg(F.count("*").alias("n"), F.countDistinct("id").alias("k")).collect()
+    whole = [("10", f"{n:02}", "202410", 20_000, 20_000) for n in range(1, 31)] + [("11", "01", "202411", 20_000, 20_000)]
+    assert sorted(map(tuple, counts)) == whole
+    landed = sum(f.stat().st_size for f in Path(lake.bronze).rglob("part-*"))
+    packed = {month: len(gzip.compress(text.encode(), 5)) for month, text in texts.items()}
+    assert landed <= 1.04 * (30 * packed["202410"] + packed["202411"])
+
+
 @pytest.mark.parametrize("adaptive", ["true", "false"])
 def test_a_file_for_more_dates_than_a_month_has(spark, lake, month_csv, adaptive):
     """A source without a month in its path is for all dates."""
